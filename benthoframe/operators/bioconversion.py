@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from benthoframe.functions.columns import null_safe_on
+from benthoframe.session import settle
 
 LEVELS = ("phylum", "class", "order", "family", "genus")
 FACTOR_KEY = ("is_Shell_removed",)
@@ -88,10 +89,12 @@ def mean_regressions(named: DataFrame, levels: Sequence[str] = LEVELS) -> DataFr
         .groupBy("level", "higher_taxon", "Size_dimension", "Size_unit", "Output_unit")
         .agg(F.avg("A_factor").alias("A_factor"), F.avg("B_exponent").alias("B_exponent"))
     )
-    keys = ("level", "higher_taxon", "Size_dimension")
-    several = means.groupBy(*keys).agg((F.count(F.lit(1)) > 1).alias("_several"))
-    dry = F.col("Output_unit") != "WW_g"
-    return means.join(several, list(keys)).filter(~F.col("_several") | dry).drop("_several")
+    # A group holds one row per size and output unit, a handful by the dictionary.
+    same_size = Window.partitionBy("level", "higher_taxon", "Size_dimension")
+    several = F.count(F.lit(1)).over(same_size) > 1
+    return means.withColumn("_several", several).filter(
+        ~F.col("_several") | (F.col("Output_unit") != "WW_g")
+    ).drop("_several")
 
 
 def mean_factors(named: DataFrame, levels: Sequence[str] = LEVELS) -> DataFrame:
@@ -145,11 +148,15 @@ def prepare_conversion(
 ) -> tuple[DataFrame, DataFrame]:
     """(factors, regressions) by accepted name, with means of higher taxa.
 
-    Lazy; `assert_unique_conversion` checks that the keys are unique (B13).
+    The table with the means is settled, since both lookups read it more than once.
+    `assert_unique_conversion` checks that the keys are unique (B13).
     """
     named = attach_names(conversion_data, worms)
-    complete = calculate_mean_conversion(named, levels).withColumn(
-        "is_Shell_removed", F.col("is_Shell_removed").cast("boolean")
+    complete = settle(
+        calculate_mean_conversion(named, levels).withColumn(
+            "is_Shell_removed", F.col("is_Shell_removed").cast("boolean")
+        ),
+        "conversion",
     )
     factors = prefer_manual(
         split_factors(complete), ("valid_name", *FACTOR_KEY), "Comment_WW_to_AFDW"

@@ -3,49 +3,57 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _axis(grid: DataFrame, axis: str) -> Column:
-    """Scalar subquery: struct(first, step, last index) of a grid axis."""
-    distinct = F.count_distinct(axis)
-    width = F.max(axis) - F.min(axis)
-    return grid.agg(
-        F.min(axis).alias("first"),
-        F.coalesce(F.try_divide(width, distinct - 1), F.lit(1.0)).alias("step"),
-        (distinct - 1).alias("last"),
-    ).select(F.struct("first", "step", "last")).scalar()
+class Axis(NamedTuple):
+    """A grid axis: first line, distance of the lines, index of the last line."""
 
+    first: float
+    step: float
+    last: int
 
-def _position(value: Column, axis: Column) -> Column:
-    """Coordinate in grid steps from the first grid line."""
-    return (value - axis["first"]) / axis["step"]
 
+def grid_axes(bathymetry: DataFrame) -> tuple[Axis, Axis]:
+    """The two axes of a grid, from one aggregate with one row."""
+    row = bathymetry.agg(*[
+        f(axis).alias(f"{name}_{axis}")
+        for axis in ("x", "y")
+        for name, f in (("low", F.min), ("high", F.max), ("lines", F.count_distinct))
+    ]).first()
+    axes = []
+    for axis in ("x", "y"):
+        low, high, lines = (row[f"{name}_{axis}"] for name in ("low", "high", "lines"))
+        if not lines:
+            raise ValueError("The bathymetry grid is empty.")
+        axes.append(Axis(low, (high - low) / (lines - 1) if lines > 1 else 1.0, lines - 1))
+    return axes[0], axes[1]
 
-def _nearest_line(value: Column, axis: Column) -> Column:
+
+def _nearest_line(value: Column, axis: Axis) -> Column:
     """Index of the nearest grid line, the lower one of a tie, clamped at the edge."""
-    line = F.ceil(_position(value, axis) - 0.5)
-    return F.greatest(F.lit(0), F.least(line, axis["last"]))
+    line = F.ceil((value - axis.first) / axis.step - 0.5)
+    return F.greatest(F.lit(0), F.least(line, F.lit(axis.last)))
 
 
-def _own_line(value: Column, axis: Column) -> Column:
+def _own_line(value: Column, axis: Axis) -> Column:
     """Index of a grid line; raises when the grid is not regularly spaced."""
-    position = _position(value, axis)
+    position = (value - axis.first) / axis.step
     line = F.rint(position)
     return F.when(F.abs(position - line) < 0.25, line.cast("bigint")).when(
         value.isNotNull(), F.raise_error(F.lit("The bathymetry grid is not regularly spaced."))
     )
 
 
-def index_grid(bathymetry: DataFrame) -> DataFrame:
-    """Depth by integer grid position: (ix, iy, depth), one row per cell."""
-    x_axis, y_axis = _axis(bathymetry, "x"), _axis(bathymetry, "y")
+def index_grid(bathymetry: DataFrame, axes: tuple[Axis, Axis]) -> DataFrame:
+    """Depth by integer grid position: (_ix, _iy, _depth), one row per cell."""
     return (
         bathymetry.select(
-            _own_line(F.col("x"), x_axis).alias("_ix"),
-            _own_line(F.col("y"), y_axis).alias("_iy"),
+            _own_line(F.col("x"), axes[0]).alias("_ix"),
+            _own_line(F.col("y"), axes[1]).alias("_iy"),
             (-F.col("z")).alias("_depth"),
         )
         .groupBy("_ix", "_iy")
@@ -54,24 +62,29 @@ def index_grid(bathymetry: DataFrame) -> DataFrame:
 
 
 def add_water_depth(
-    stations: DataFrame, bathymetry: DataFrame, col_lon: str, col_lat: str, col_name: str
+    stations: DataFrame,
+    bathymetry: DataFrame,
+    col_lon: str,
+    col_lat: str,
+    col_name: str,
+    axes: tuple[Axis, Axis] | None = None,
 ) -> DataFrame:
     """Add the depth of the nearest grid cell.
 
     Nearest longitude and nearest latitude are taken independently, so the lookup
     is an equi-join on two integers. A station without coordinates gets NULL; such
     stations get distinct negative positions, so that they do not meet in one task
-    when the grid is too large to broadcast.
+    when the grid is too large to broadcast. `axes` saves a look at the grid.
     """
-    x_axis, y_axis = _axis(bathymetry, "x"), _axis(bathymetry, "y")
+    axes = axes or grid_axes(bathymetry)
     lon, lat = F.col(col_lon), F.col(col_lat)
     placeless = lon.isNull() | lat.isNull()
     spread = -1 - F.pmod(F.xxhash64("StationID"), F.lit(4096))
     placed = stations.withColumns({
-        "_ix": F.when(placeless, spread).otherwise(_nearest_line(lon, x_axis)),
-        "_iy": F.when(placeless, spread).otherwise(_nearest_line(lat, y_axis)),
+        "_ix": F.when(placeless, spread).otherwise(_nearest_line(lon, axes[0])),
+        "_iy": F.when(placeless, spread).otherwise(_nearest_line(lat, axes[1])),
     })
-    found = placed.join(index_grid(bathymetry), ["_ix", "_iy"], "left")
+    found = placed.join(index_grid(bathymetry, axes), ["_ix", "_iy"], "left")
     return found.withColumnRenamed("_depth", col_name).drop("_ix", "_iy")
 
 
@@ -114,9 +127,10 @@ def prune_bathymetry(bathymetry: DataFrame, bbox: DataFrame) -> DataFrame:
 
 def add_depths(stations: DataFrame, bathymetry: DataFrame) -> DataFrame:
     """Depth at the reported and at the calculated midpoint."""
+    axes = grid_axes(bathymetry)
     reported = add_water_depth(
-        stations, bathymetry, "Lon_DD_midpt", "Lat_DD_midpt", "Water_depth_m_Bathy"
+        stations, bathymetry, "Lon_DD_midpt", "Lat_DD_midpt", "Water_depth_m_Bathy", axes
     )
     return add_water_depth(
-        reported, bathymetry, "Lon_DD_calc", "Lat_DD_calc", "Water_depth_m_Bathy2"
+        reported, bathymetry, "Lon_DD_calc", "Lat_DD_calc", "Water_depth_m_Bathy2", axes
     )

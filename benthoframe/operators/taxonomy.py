@@ -40,7 +40,9 @@ def _shorter(name: Column) -> Column:
         F.length(name) > 0,
         F.transform(
             F.sequence(F.lit(1), F.length(name)),
-            lambda i: F.concat(F.substring(name, F.lit(1), i - 1), F.substring(name, i + 1, F.length(name))),
+            lambda i: F.concat(
+                F.substring(name, F.lit(1), i - 1), F.substring(name, i + 1, F.length(name))
+            ),
         ),
     ).otherwise(F.array().cast("array<string>"))
 
@@ -132,11 +134,14 @@ def get_valid_names(names: DataFrame, taxonomy: DataFrame, max_distance: int = 1
     """Exactly one row per distinct name: the accepted record and its flags.
 
     isFuzzy is 1 for every name without an exact match, hasNoMatch is 1 when no
-    record could be chosen (T8). `names` has a column `Query`.
+    record could be chosen (T8). `names` has a column `Query`; with `max_distance`
+    0 there is no fuzzy matching.
     """
     queries = names.select("Query").filter(F.col("Query").isNotNull()).distinct()
-    fuzzy = match_fuzzy(names_without_match(queries, taxonomy), taxonomy, max_distance)
-    candidates = match_exact(queries, taxonomy).unionByName(fuzzy)
+    candidates = match_exact(queries, taxonomy)
+    if max_distance > 0:
+        unmatched = names_without_match(queries, taxonomy)
+        candidates = candidates.unionByName(match_fuzzy(unmatched, taxonomy, max_distance))
     return queries.join(choose_record(candidates), "Query", "left").select(
         "Query",
         *RECORD,

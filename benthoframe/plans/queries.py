@@ -81,10 +81,15 @@ def cleaned_species(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def completed_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.complete_stations(
-        view(spark, sf_dir, "stations"), view(spark, sf_dir, "bathymetry")
+        view(spark, sf_dir, "stations"), stored_bathymetry(spark, sf_dir)
     )
 
 
+def stored_bathymetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grid as a stored table, as it is outside these tests."""
+    return settle(view(spark, sf_dir, "bathymetry"), "bathymetry")
+
+
 def database(spark: SparkSession, sf_dir: str) -> DataFrame:
     stations = finalize.clean_stations(completed_stations(spark, sf_dir))
     return pipeline.density_table(cleaned_species(spark, sf_dir), stations)
@@ -407,7 +412,7 @@ def qc_no_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
 def qc_depth_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R4."""
     stations = depth.add_water_depth(
-        view(spark, sf_dir, "stations"), view(spark, sf_dir, "bathymetry"),
+        view(spark, sf_dir, "stations"), stored_bathymetry(spark, sf_dir),
         "Lon_DD_midpt", "Lat_DD_midpt", "Water_depth_m_Bathy",
     )
     return with_single(sp.report_depth_difference(stations), "mean_diff_depth")

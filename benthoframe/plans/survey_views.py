@@ -3,27 +3,37 @@
 The test tables hold no survey data, so stations come from `orders`, entries from
 `lineitem`, taxa from `part`, with missing values put in by rule. The text is plain
 SQL that Spark and the checking database both run, whole tables in, whole tables out.
+Coordinates are added up as doubles, because the engines differ on decimal division.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
+from benthoframe.session import spread
+
 TABLES = ("orders", "lineitem", "part")
 
 VIEWS: dict[str, str] = {}
+# The table whose rows become the rows of a view, and columns that tell them apart.
+SPREAD = {
+    "species": ("lineitem", ("l_orderkey", "l_linenumber")),
+    "stations": ("orders", ("o_orderkey",)),
+}
 
 VIEWS["stations"] = """
 SELECT 'st_' || year(o_orderdate) || '.csv' AS File,
  'C' || (o_custkey % 40) AS CruiseID,
  'C' || (o_custkey % 40) || '#' || o_orderkey AS StationID,
  CAST(o_orderdate AS DATE) AS Date,
- CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(51.003 + (o_orderkey % 400) / 100.0 AS DOUBLE) END AS Lat_start_DD,
- CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(2.003 + (o_custkey % 450) / 100.0 AS DOUBLE) END AS Lon_start_DD,
- CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(51.0035 + (o_orderkey % 400) / 100.0 AS DOUBLE) END AS Lat_stop_DD,
- CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(2.0038 + (o_custkey % 450) / 100.0 AS DOUBLE) END AS Lon_stop_DD,
- CASE WHEN o_orderkey % 4 IN (1, 2) THEN NULL ELSE CAST(51.0032 + (o_orderkey % 400) / 100.0 AS DOUBLE) END AS Lat_DD_midpt,
- CASE WHEN o_orderkey % 4 IN (1, 2) THEN NULL ELSE CAST(2.0034 + (o_custkey % 450) / 100.0 AS DOUBLE) END AS Lon_DD_midpt,
+ CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(51.003 AS DOUBLE) + (o_orderkey % 400) / CAST(100 AS DOUBLE) END AS Lat_start_DD,
+ CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(2.003 AS DOUBLE) + (o_custkey % 450) / CAST(100 AS DOUBLE) END AS Lon_start_DD,
+ CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(51.0035 AS DOUBLE) + (o_orderkey % 400) / CAST(100 AS DOUBLE) END AS Lat_stop_DD,
+ CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(2.0038 AS DOUBLE) + (o_custkey % 450) / CAST(100 AS DOUBLE) END AS Lon_stop_DD,
+ CASE WHEN o_orderkey % 4 IN (1, 2) THEN NULL ELSE CAST(51.0032 AS DOUBLE) + (o_orderkey % 400) / CAST(100 AS DOUBLE) END AS Lat_DD_midpt,
+ CASE WHEN o_orderkey % 4 IN (1, 2) THEN NULL ELSE CAST(2.0034 AS DOUBLE) + (o_custkey % 450) / CAST(100 AS DOUBLE) END AS Lon_DD_midpt,
  CASE WHEN o_orderkey % 4 IN (1, 2) THEN NULL ELSE CAST(100 AS DOUBLE) END AS Track_length_m_preset,
  CAST(20 AS DOUBLE) AS Blade_width_cm, CAST(18 AS DOUBLE) AS Blade_depth_cm,
  o_orderkey % 7 <> 0 AS is_Quantitative,
@@ -161,4 +171,10 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     text = VIEWS[name].replace('"order"', "`order`")
     inputs = [t for t in (*TABLES, *VIEWS) if "{" + t + "}" in text]
-    return spark.sql(text, **{t: view(spark, sf_dir, t) for t in inputs})
+    frames = {t: view(spark, sf_dir, t) for t in inputs}
+    if name in SPREAD:
+        table, keys = SPREAD[name]
+        needed = [c for c in frames[table].columns if re.search(rf"\b{c}\b", text)]
+        frames[table] = spread(frames[table].select(*needed), *keys)
+    return spark.sql(text, **frames)
+

@@ -21,6 +21,8 @@ RECOMMENDED_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
+    # HotSpot does not compile longer methods; past it Spark splits the stage instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 _local_root: str | None = None
@@ -66,3 +68,14 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a table that has fewer partitions than the session has cores.
+
+    A small table in one file would otherwise keep one core busy. A large table has
+    more splits than cores and is returned as it is, without a shuffle. `keys`
+    together should be close to unique.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
