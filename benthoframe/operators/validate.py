@@ -212,6 +212,8 @@ def header_violations(headers: DataFrame, table: str) -> DataFrame:
     add("required_absent", F.size(absent) > 0, listed(absent), "required columns are absent")
     invalid = F.array_except(names, literal([a.name for a in dd.attributes(table)]))
     add("name_invalid", F.size(invalid) > 0, listed(invalid), "unknown column names")
+    add("name_repeated", F.size(F.array_distinct(names)) < F.size(names), listed(names),
+        "column names occur more than once")
     alternatives = dd.alternatives(table)
     if alternatives:
         all_incomplete = reduce(

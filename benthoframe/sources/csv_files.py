@@ -61,7 +61,8 @@ def read_parts(
     by_header = headers.groupBy("columns").agg(F.collect_list("path").alias("paths")).collect()
     parts = []
     for row in sorted(by_header, key=lambda r: r["columns"]):
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in row["columns"]])
+        names = _distinct(row["columns"])
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
         part = (
             spark.read.schema(schema)
             .option("header", True)
@@ -72,10 +73,25 @@ def read_parts(
             .option("ignoreTrailingWhiteSpace", True)
             .csv(row["paths"])
         )
-        parts.append(part.select(F.col("_metadata.file_name").alias("File"), *row["columns"]))
+        parts.append(
+            part.select(
+                F.col("_metadata.file_name").alias("File"),
+                *["`" + c.replace("`", "``") + "`" for c in names],
+            )
+        )
     return parts
 
 
+def _distinct(columns: list[str]) -> list[str]:
+    """Column names made unique, also against the added `File`."""
+    seen, names = {"file"}, []
+    for position, name in enumerate(columns):
+        unique = f"{name}_{position}" if name.lower() in seen or not name else name
+        seen.add(unique.lower())
+        names.append(unique)
+    return names
+
+
 def unite(parts: list[DataFrame]) -> DataFrame:
     """Unite tables by column name; a column a part lacks is NULL there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
