@@ -9,6 +9,7 @@ Coordinates are added up as doubles, because the engines differ on decimal divis
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -165,10 +166,16 @@ SELECT DISTINCT substr(p_name, 1, 2) || substr(p_name, 4) FROM {part}
 """
 
 
+@lru_cache(maxsize=64)
+def _table(spark: SparkSession, path: str) -> DataFrame:
+    """A stored table; keeps only its schema and file list, so each is looked up once."""
+    return spark.read.parquet(path)
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table or survey-shaped view as a lazy DataFrame."""
     if name not in VIEWS:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return _table(spark, f"{sf_dir}/{name}.parquet")
     text = VIEWS[name].replace('"order"', "`order`")
     inputs = [t for t in (*TABLES, *VIEWS) if "{" + t + "}" in text]
     frames = {t: view(spark, sf_dir, t) for t in inputs}
