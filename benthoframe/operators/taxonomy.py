@@ -92,25 +92,26 @@ def match_fuzzy(names: DataFrame, taxonomy: DataFrame, max_distance: int = 1) ->
 
 
 def choose_record(candidates: DataFrame) -> DataFrame:
-    """One record per name with candidates, NULL fields when ambiguous.
+    """One record per name, NULL fields when there is none or it is ambiguous.
 
     A single candidate is taken as it is. Of several, extinct ones are dropped;
     then the only accepted one wins, else the first one when all share one valid
-    name. The lowest cand_id is first.
+    name. The lowest cand_id is first. A row without cand_id only keeps its name.
     """
     record = F.struct("cand_id", *RECORD)
-    alive = F.coalesce(F.col("isExtinct") != 1, F.lit(True))
+    found = F.col("cand_id").isNotNull()
+    alive = found & F.coalesce(F.col("isExtinct") != 1, F.lit(True))
     accepted = alive & F.coalesce(F.col("status") == "accepted", F.lit(False))
     living_name = F.when(alive, F.col("valid_name"))
     counted = candidates.groupBy("Query").agg(
         F.max("isFuzzy").alias("isFuzzy"),
-        F.count(F.lit(1)).alias("n"),
+        F.count_if(found).alias("n"),
         F.count_if(alive).alias("n_alive"),
         F.count_if(accepted).alias("n_accepted"),
         F.count(living_name).alias("n_named"),
         F.min(living_name).alias("low_name"),
         F.max(living_name).alias("high_name"),
-        F.min(record).alias("first"),
+        F.min(F.when(found, record)).alias("first"),
         F.min(F.when(alive, record)).alias("first_alive"),
         F.min(F.when(accepted, record)).alias("first_accepted"),
     )
@@ -124,9 +125,9 @@ def choose_record(candidates: DataFrame) -> DataFrame:
     )
     return counted.withColumn("chosen", chosen).select(
         "Query",
+        *[F.col("chosen")[c].alias(c) for c in RECORD],
         "isFuzzy",
         F.col("chosen").isNull().cast("int").alias("hasNoMatch"),
-        *[F.col("chosen")[c].alias(c) for c in RECORD],
     )
 
 
@@ -135,19 +136,15 @@ def get_valid_names(names: DataFrame, taxonomy: DataFrame, max_distance: int = 1
 
     isFuzzy is 1 for every name without an exact match, hasNoMatch is 1 when no
     record could be chosen (T8). `names` has a column `Query`; with `max_distance`
-    0 there is no fuzzy matching.
+    0 there is no fuzzy matching. Every record of the taxonomy has a cand_id.
     """
     queries = names.select("Query").filter(F.col("Query").isNotNull()).distinct()
-    candidates = match_exact(queries, taxonomy)
+    asked = queries.join(taxonomy.withColumnRenamed("name", "Query"), "Query", "left")
+    candidates = asked.withColumn("isFuzzy", F.col("cand_id").isNull().cast("int"))
     if max_distance > 0:
-        unmatched = names_without_match(queries, taxonomy)
+        unmatched = candidates.filter("isFuzzy = 1").select("Query")
         candidates = candidates.unionByName(match_fuzzy(unmatched, taxonomy, max_distance))
-    return queries.join(choose_record(candidates), "Query", "left").select(
-        "Query",
-        *RECORD,
-        F.coalesce("isFuzzy", F.lit(1)).alias("isFuzzy"),
-        F.coalesce("hasNoMatch", F.lit(1)).alias("hasNoMatch"),
-    )
+    return choose_record(candidates)
 
 
 def resolve_taxonomy(

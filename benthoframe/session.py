@@ -23,6 +23,8 @@ RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # HotSpot does not compile longer methods; past it Spark splits the stage instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # One run of the pipeline generates more classes than the default of 100 keeps.
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
 _local_root: str | None = None
