@@ -69,3 +69,13 @@ def test_plans(spark):
     totals = plan("totals_by_station_taxon")
     assert "Python" not in totals and "l_tax" not in totals and "l_shipdate" not in totals
     assert "BroadcastHashJoin" in totals
+
+
+@pytest.mark.parametrize("name", ["sample_conflict", "water_depth"])
+def test_lookups_too_large_to_broadcast(spark, db, name):
+    """The way beyond the broadcast threshold: sort-merge joins, same rows."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        compare(spark, db, name, SF)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
