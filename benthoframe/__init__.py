@@ -26,13 +26,13 @@ from benthoframe.plans.pipeline import (
     finalize_database,
     prepare_bioconversion,
 )
-from benthoframe.session import RECOMMENDED_CONF, recommended_builder
+from benthoframe.session import RECOMMENDED_CONF, clear_scratch, recommended_builder
 from benthoframe.sources.dictionary import data_dictionary
 
 __all__ = [
     "InvalidInput", "RECOMMENDED_CONF", "add_bearings", "add_track_length_GPS",
     "add_track_length_Odometer", "add_track_midpoints", "add_water_depth", "check_bioconversion",
-    "check_bioconversion_input", "collect_bathymetry", "collect_taxonomy", "combine_data_sources",
+    "check_bioconversion_input", "clear_scratch", "collect_bathymetry", "collect_taxonomy", "combine_data_sources",
     "community_values", "complete_database", "construct_database", "data_dictionary",
     "finalize_database", "find_track_midpoints", "get_community_matrix", "get_valid_names",
     "match_exact", "match_fuzzy", "prepare_bioconversion", "prepare_conversion",

@@ -8,22 +8,13 @@ Coordinates are added up as doubles, because the engines differ on decimal divis
 
 from __future__ import annotations
 
-import re
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from benthoframe.session import spread
-
 TABLES = ("orders", "lineitem", "part")
 
 VIEWS: dict[str, str] = {}
-# The table whose rows become the rows of a view, and columns that tell them apart.
-SPREAD = {
-    "species": ("lineitem", ("l_orderkey", "l_linenumber")),
-    "stations": ("orders", ("o_orderkey",)),
-}
-
 VIEWS["stations"] = """
 SELECT 'st_' || year(o_orderdate) || '.csv' AS File,
  'C' || (o_custkey % 40) AS CruiseID,
@@ -179,9 +170,5 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = VIEWS[name].replace('"order"', "`order`")
     inputs = [t for t in (*TABLES, *VIEWS) if "{" + t + "}" in text]
     frames = {t: view(spark, sf_dir, t) for t in inputs}
-    if name in SPREAD:
-        table, keys = SPREAD[name]
-        needed = [c for c in frames[table].columns if re.search(rf"\b{c}\b", text)]
-        frames[table] = spread(frames[table].select(*needed), *keys)
     return spark.sql(text, **frames)
 

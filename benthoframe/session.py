@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import atexit
-import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -11,14 +11,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the pipeline is designed for. Nothing in the library hints a
-# broadcast: Spark compares the measured size of a side with the threshold
-# below, and falls back to a sort-merge join whose hot partitions AQE splits.
+# broadcast: Spark compares the size of a side, its files' times the compression
+# factor, with the threshold below, and falls back to a sort-merge join whose hot
+# partitions AQE splits.
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.sources.fileCompressionFactor": "8",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
     # HotSpot does not compile longer methods; past it Spark splits the stage instead.
@@ -27,7 +29,8 @@ RECOMMENDED_CONF = {
     "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
-_local_root: str | None = None
+# Scratch folder by application.
+_roots: dict[str, str] = {}
 
 
 def recommended_builder(app_name: str = "benthoframe"):
@@ -39,23 +42,32 @@ def recommended_builder(app_name: str = "benthoframe"):
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables: ``spark.checkpoint.dir``.
+    """This session's own folder for intermediate tables, under ``spark.checkpoint.dir``.
 
-    Only a local-mode session may run without the setting; it then gets a
-    temporary folder which is removed when the process ends.
+    Only a session whose master is ``local`` or ``local[...]``, as in tests, may run
+    without the setting; it gets a temporary folder, removed when the process ends.
+    `clear_scratch` removes the folder of a session on a cluster.
     """
-    global _local_root
-    configured = spark.conf.get("spark.checkpoint.dir", "")
-    if configured:
-        return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError(
-            "Set spark.checkpoint.dir to a folder that all executors share."
-        )
-    if _local_root is None or not os.path.isdir(_local_root):
-        _local_root = tempfile.mkdtemp(prefix="benthoframe-")
-        atexit.register(shutil.rmtree, _local_root, ignore_errors=True)
-    return _local_root
+    application = spark.sparkContext.applicationId
+    if application not in _roots:
+        configured = spark.conf.get("spark.checkpoint.dir", "")
+        if not configured:
+            if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+                raise RuntimeError(
+                    "Set spark.checkpoint.dir to a folder that all executors share."
+                )
+            configured = tempfile.mkdtemp(prefix="benthoframe-")
+            atexit.register(shutil.rmtree, configured, ignore_errors=True)
+        _roots[application] = f"{configured.rstrip('/')}/benthoframe-{uuid.uuid4().hex}"
+    return _roots[application]
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove every intermediate table of this session; its lazy results end with them."""
+    root = _roots.pop(spark.sparkContext.applicationId, None)
+    if root:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
@@ -70,14 +82,3 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a table that has fewer partitions than the session has cores.
-
-    A small table in one file would otherwise keep one core busy. A large table has
-    more splits than cores and is returned as it is, without a shuffle. `keys`
-    together should be close to unique.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
