@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from benthoframe.llm.packing import pack
+from benthoframe.llm.simhash import near_duplicates
 from benthoframe.llm.tables import table
 from benthoframe.llm.token_files import token_files
 
@@ -28,8 +29,13 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_files": op4_token_files,
     "op7_packing": op7_packing,
+    "op10_simhash": op10_simhash,
 }
 ORACLE: dict[str, str] = {}
