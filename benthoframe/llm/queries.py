@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from benthoframe.llm import language_id
 from benthoframe.llm.packing import pack
 from benthoframe.llm.simhash import near_duplicates
-from benthoframe.llm.tables import table
+from benthoframe.llm.tables import fold, table
 from benthoframe.llm.token_files import token_files
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -21,6 +22,13 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs, fold("doc_id", 3) != 1)
+    found = language_id.identify(docs, *model)
+    return found.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "mixture")
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY))
 
@@ -34,6 +42,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_mixture": op1_language_mixture,
     "op4_token_files": op4_token_files,
     "op7_packing": op7_packing,
     "op10_simhash": op10_simhash,
