@@ -156,7 +156,7 @@ def _fit(owner: np.ndarray, n: np.ndarray, p: np.ndarray, weights: np.ndarray, r
     like = np.zeros(texts)
     if len(first):
         like[there] = np.add.reduceat(n * np.log(np.maximum((weights[owner] * p).sum(1), 1e-30)), first)
-    return weights, like
+    return weights.astype(np.float64), like
 
 
 def identify(docs: DataFrame, names: list[str], model: np.ndarray, **options) -> DataFrame:
