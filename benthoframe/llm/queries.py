@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from benthoframe.llm import language_id
+from benthoframe.llm import language_id, pii
 from benthoframe.llm.packing import pack
 from benthoframe.llm.simhash import near_duplicates
 from benthoframe.llm.tables import fold, table
@@ -29,6 +29,11 @@ def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "mixture")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    field = pii.train_field(pii.labelled_table(spark))
+    return pii.find_pii(table(spark, sf_dir, "documents"), field).drop("redacted_text")
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY))
 
@@ -43,6 +48,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_mixture": op1_language_mixture,
+    "op2_pii": op2_pii,
     "op4_token_files": op4_token_files,
     "op7_packing": op7_packing,
     "op10_simhash": op10_simhash,
