@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from benthoframe.llm import language_id, pii
+from benthoframe.llm import language_id, pii, toxicity
 from benthoframe.llm.packing import pack
 from benthoframe.llm.simhash import near_duplicates
 from benthoframe.llm.tables import fold, table
@@ -34,6 +34,13 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents"), field).drop("redacted_text")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(fold("doc_id", 5) != 0))
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY))
 
@@ -49,6 +56,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_mixture": op1_language_mixture,
     "op2_pii": op2_pii,
+    "op3_toxicity": op3_toxicity,
     "op4_token_files": op4_token_files,
     "op7_packing": op7_packing,
     "op10_simhash": op10_simhash,
