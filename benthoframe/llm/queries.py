@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from benthoframe.llm import language_id, pii, toxicity
+from benthoframe.llm import fertility, language_id, licenses, pii, toxicity
 from benthoframe.llm.packing import pack
 from benthoframe.llm.simhash import near_duplicates
 from benthoframe.llm.tables import fold, table
@@ -49,6 +49,14 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op9_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.judge(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -59,6 +67,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_token_files": op4_token_files,
     "op7_packing": op7_packing,
+    "op8_licenses": op8_licenses,
+    "op9_fertility": op9_fertility,
     "op10_simhash": op10_simhash,
 }
 ORACLE: dict[str, str] = {}
