@@ -2,7 +2,8 @@
 
 Every word of a text is encoded once per task by a public vocabulary with byte fallback. The three measures of all documents of
 a language give its bands: quartiles by a sketch, widened by a multiple of their distance. A document whose base rules hold
-is kept if its characters per token lie within the band, its byte share not above and its entropy not below it.
+is kept if its characters per token lie within the band, its byte share not above and its entropy not below it. Few tokens
+cannot have a high entropy, so `least_evenness` of the most that they could have is always enough.
 
 Defined results: null text has no word and fails the base rules; a null language is a group of its own; a language with
 fewer than `least` measured documents has no band and rejects nothing; repeated rows count and give equal results; extra
@@ -120,7 +121,7 @@ def bands(measured: DataFrame, wide: float = 3.0, least: int = 30) -> DataFrame:
     )
 
 
-def judge(docs: DataFrame, vocabulary: str, lang: str = "lang", wide: float = 3.0, least: int = 30) -> DataFrame:
+def judge(docs: DataFrame, vocabulary: str, lang: str = "lang", wide: float = 3.0, least: int = 30, least_evenness: float = 0.75) -> DataFrame:
     """doc_id, base counts, base_failed, kept and the measures of every row."""
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     measured = settle(measure(docs, vocabulary, lang).withColumn("base_failed", failed), "fertility")
@@ -128,7 +129,8 @@ def judge(docs: DataFrame, vocabulary: str, lang: str = "lang", wide: float = 3.
     joined = measured.join(limits, measured["lang"].eqNullSafe(limits["band_lang"]), "left")
     within = (
         F.col("chars_per_token").between(F.col("least_chars"), F.col("most_chars"))
-        & (F.col("byte_share") <= F.col("most_bytes")) & (F.col("entropy") >= F.col("least_entropy"))
+        & (F.col("byte_share") <= F.col("most_bytes"))
+        & (F.col("entropy") >= F.least("least_entropy", least_evenness * F.log2(F.col("word_chars") / F.col("chars_per_token"))))
     )
     return joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from benthoframe.llm import fertility, language_id, licenses, pii, toxicity
+from benthoframe.llm import decontaminate, fertility, language_id, licenses, pii, toxicity
 from benthoframe.llm.packing import pack
 from benthoframe.llm.simhash import near_duplicates
 from benthoframe.llm.tables import fold, table
@@ -45,6 +45,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY))
 
@@ -66,9 +70,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op3_toxicity": op3_toxicity,
     "op4_token_files": op4_token_files,
+    "op5_decontamination": op5_decontamination,
     "op7_packing": op7_packing,
     "op8_licenses": op8_licenses,
     "op9_fertility": op9_fertility,
     "op10_simhash": op10_simhash,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op5_decontamination": decontaminate.SQL}
