@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from benthoframe.llm import decontaminate, fertility, language_id, licenses, pii, toxicity
+from benthoframe.llm import decontaminate, fertility, language_id, licenses, pii, suffix_dedup, toxicity
 from benthoframe.llm.packing import pack
 from benthoframe.llm.simhash import near_duplicates
 from benthoframe.llm.tables import fold, table
@@ -49,6 +49,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("changed")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY))
 
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_token_files": op4_token_files,
     "op5_decontamination": op5_decontamination,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_packing": op7_packing,
     "op8_licenses": op8_licenses,
     "op9_fertility": op9_fertility,
