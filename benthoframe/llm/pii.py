@@ -16,11 +16,12 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone", "secret")
@@ -431,3 +432,16 @@ def find_pii(docs: DataFrame, field: Field) -> DataFrame:
 
     schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, redacted_text string"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scan, schema)
+
+
+def redact_column(field: Field) -> Callable[[str], Column]:
+    """A column function: each text with its spans replaced by their kinds; null stays null."""
+    shared = SparkSession.active().sparkContext.broadcast(field)
+
+    @F.pandas_udf("string")
+    def cleaned(texts: pd.Series) -> pd.Series:
+        given = [t or "" for t in texts]
+        found = find_spans(given, shared.value)
+        return pd.Series([redacted(g, s) if s else t for t, g, (_, s) in zip(texts, given, found)], dtype="object")
+
+    return cleaned

@@ -13,12 +13,13 @@ prior; null labels teach nothing, several labels of a document count as toxic if
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benthoframe.session import settle
@@ -164,15 +165,18 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, vocabulary:
     return Model(used, b, {n: (float(rate[0, i]), float(rate[1, i]), float(share[i])) for i, n in enumerate(voters)})
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, score and predicted of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most `vocabulary` weights
+def score_column(model: Model) -> Callable[[str], Column]:
+    """A column function: the score of each text of a column."""
+    shared = SparkSession.active().sparkContext.broadcast(model)  # at most `vocabulary` weights
 
-    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = np.array([shared.value.score(t.as_py() or "") for t in batch.column("text")], np.float64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(found), pa.array((found >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"]
-            )
+    @F.pandas_udf("double")
+    def rated(texts: pd.Series) -> pd.Series:
+        return pd.Series([shared.value.score(t or "") for t in texts], dtype="float64")
+
+    return rated
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(rate, "doc_id long, score double, predicted int")
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, score and predicted of every row."""
+    rated = docs.select(F.col("doc_id").cast("long").alias("doc_id"), score_column(model)("text").alias("score"))
+    return rated.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
