@@ -147,11 +147,17 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, vocabulary:
     for name in _SIGNS:
         scores.setdefault(name, 0.0)
     names = sorted(scores)
-    wanted = F.array(*(F.lit(n) for n in names))
-    kept = seen.select("doc_id", "toxic", F.array_intersect("signs", wanted).alias("signs")).orderBy("doc_id").collect()
     at = {n: i for i, n in enumerate(names)}
-    owner = np.array([i for i, r in enumerate(kept) for _ in r["signs"]], np.int64)
-    sign = np.array([at[s] for r in kept for s in r["signs"]], np.int64)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [sorted(at[s] for s in row if s in at) for row in batch.column("signs").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "toxic", "signs"])
+
+    # about `sample` rows of at most `vocabulary` numbers
+    kept = seen.mapInArrow(place, "doc_id long, toxic int, signs array<int>").orderBy("doc_id").collect()
+    owner = np.repeat(np.arange(len(kept)), [len(r["signs"]) for r in kept])
+    sign = np.array([s for r in kept for s in r["signs"]], np.int64)
     gold = np.array([r["toxic"] for r in kept], np.float64)
     voters = sorted(set(sorted((n for n in names if scores[n] > 3), key=lambda n: (-scores[n], n))[:lexicon]) | set(_SIGNS))
     column = np.full(len(names), -1)
