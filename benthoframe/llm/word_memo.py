@@ -25,7 +25,7 @@ class WordMemo(dict):
     older one, so at most twice `words` values are held.
     """
 
-    def __init__(self, value: Callable[[bytes], bytes], words: int = 350_000):
+    def __init__(self, value: Callable[[bytes], bytes], words: int = 700_000):
         super().__init__()
         self.value, self.words, self.old = value, words, {}
 
@@ -53,7 +53,7 @@ class WordEncoder:
     encoded once. Any other tokenizer file encodes whole texts.
     """
 
-    def __init__(self, path: str, words: int = 350_000):
+    def __init__(self, path: str, words: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -96,6 +96,11 @@ class WordEncoder:
         return text.encode().split()
 
     def _value(self, word: bytes) -> bytes:
+        if word.islower():  # letters of ASCII alone, or before a mark, are most of what is new
+            if word.isalpha():
+                return array("I", [t.id for t in self.model.tokenize(word.decode())]).tobytes()
+            if word[-1] in b".,|" and word[:-1].isalpha():
+                return self.memo[word[:-1]] + self.memo[word[-1:]]
         text = word.decode()
         if not PLAIN.fullmatch(text) or text != text.lower() or "<|" in text:
             return self._whole(text)
