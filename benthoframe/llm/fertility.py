@@ -134,5 +134,5 @@ def judge(docs: DataFrame, vocabulary: str, lang: str = "lang", wide: float = 3.
     )
     return joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & F.coalesce(within, F.lit(True))).alias("kept"), "chars_per_token", "byte_share", "entropy",
+        (~F.col("base_failed") & (F.col("least_chars").isNull() | F.coalesce(within, F.lit(False)))).alias("kept"), "chars_per_token", "byte_share", "entropy",
     )

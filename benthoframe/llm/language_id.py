@@ -42,9 +42,12 @@ def bucket_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     runs = []
     held, owners, size = [], [], 0
     for i, text in enumerate(texts):
-        for at in range(0, len(text), _SPAN):
+        at, ended = 0, not text
+        while not ended:
             # two characters more than a span, so that no trigram is lost between spans
-            part = f"\0{text[at : at + _SPAN + 2].lower()}\0" if at + _SPAN + 2 >= len(text) else text[at : at + _SPAN + 2].lower()
+            ended = at + _SPAN + 2 >= len(text)
+            part = "\0" * (at == 0) + text[at : at + _SPAN + 2].lower() + "\0" * ended
+            at += _SPAN
             held.append(part)
             owners.append(i)
             size += len(part)
