@@ -8,6 +8,7 @@ lookups with unique keys.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -134,11 +135,20 @@ def calculate_mean_conversion(named: DataFrame, levels: Sequence[str] = LEVELS)
     return named.unionByName(mean_conversion(named, levels), allowMissingColumns=True)
 
 
-def prefer_manual(df: DataFrame, keys: Sequence[str], comment: str) -> DataFrame:
-    """Where a key has two rows, drop the calculated one."""
-    pairs = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n = 2")
+def prefer_manual(
+    df: DataFrame, keys: Sequence[str], comment: str, reference_mode: bool = False
+) -> DataFrame:
+    """Drop a calculated row where its key has a manual one.
+
+    Two calculated rows of one key stay, for `assert_unique_conversion` to report.
+    `reference_mode` drops every calculated row of a key with two rows, as the original does.
+    """
     calculated = F.coalesce(F.col(comment) == MEAN_LABEL, F.lit(False))
-    dropped = pairs.drop("_n")
+    counted = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(~calculated).alias("_manual")
+    )
+    pairs = counted.filter("_n = 2" if reference_mode else "_n > 1 AND _manual > 0")
+    dropped = pairs.drop("_n", "_manual")
     kept = df.join(dropped, null_safe_on(df, dropped, keys) & calculated, "left_anti")
     return kept
 
@@ -167,10 +177,32 @@ def prepare_conversion(
     return factors, regressions
 
 
-def assert_unique_conversion(factors: DataFrame, regressions: DataFrame) -> None:
-    """Raise when a key of the prepared lookups occurs twice."""
-    for doubles in (double_factors(factors), double_regressions(regressions)):
-        shown = doubles.take(20)
-        if shown:
-            keys = "; ".join(str(row.asDict()) for row in shown)
-            raise ValueError(f"Automatic calculated means introduced doubles: {keys}")
+def lookup_doubles(
+    factors: DataFrame, regressions: DataFrame, worms: DataFrame | None = None
+) -> DataFrame:
+    """(lookup, key, Count) of every key that occurs more than once in a lookup."""
+    checks = {
+        "factors": (factors, ("valid_name", *FACTOR_KEY)),
+        "regressions": (regressions, ("valid_name", *REGRESSION_KEY)),
+    }
+    if worms is not None:
+        checks["taxonomy"] = (worms, ("Query",))
+    found = [
+        _doubles(df, keys).select(
+            F.lit(lookup).alias("lookup"),
+            F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys]).alias("key"),
+            "Count",
+        )
+        for lookup, (df, keys) in checks.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def assert_unique_conversion(
+    factors: DataFrame, regressions: DataFrame, worms: DataFrame | None = None
+) -> None:
+    """Raise when a key of the prepared lookups occurs twice (B13, V34); one job for all of them."""
+    shown = lookup_doubles(factors, regressions, worms).take(20)
+    if shown:
+        keys = "; ".join(f"{row.lookup}: {row.key} ({row.Count} rows)" for row in shown)
+        raise ValueError(f"These lookup keys are not unique: {keys}")

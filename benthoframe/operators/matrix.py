@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from benthoframe.session import settle
+
 TAXONOMIC_LEVELS = ("all", "species", "genus", "family", "order", "class", "phylum")
 INCOMPLETE_FLAG = {
     "Density_nr_per_m2": "incomplete_count",
@@ -65,13 +67,16 @@ def get_community_matrix(
 
     A taxon that was not found is 0, an unknown value NULL, and entries without a
     taxon at this level form the column ``NA``. The columns are the sorted distinct
-    taxa, at most ``spark.sql.pivotMaxValues`` of them; give `taxa` to fix them
-    (and save a pass), or use `community_values` for the long form of any size.
+    taxa, at most ``spark.sql.pivotMaxValues`` of them; give `taxa` to fix them, or use
+    `community_values` for the long form of any size. Without `taxa` the values, one row per
+    station and taxon, are stored first, so that the entries are read once. A taxon that is
+    really called ``NA`` adds to the column of that name.
     """
     values = community_values(
         database, taxonomic_level, abundance_measure, include_incomplete, reference_mode
     ).withColumn("taxon", F.coalesce("taxon", F.lit("NA")))
     if taxa is None:
+        values = settle(values, "community")
         limit = int(values.sparkSession.conf.get("spark.sql.pivotMaxValues"))
         found = values.select("taxon").distinct().take(limit + 1)
         if len(found) > limit:
@@ -84,12 +89,14 @@ def get_community_matrix(
     marked = values.withColumn(
         "value", F.coalesce(F.col("value").cast("double"), F.lit(float("nan")))
     )
-    wide = marked.groupBy("StationID").pivot("taxon", names).agg(F.first("value"))
-    quoted = {n: F.col("`" + n.replace("`", "``") + "`") for n in names}
-    return wide.select(
+    together = F.max("value") if abundance_measure == "presence_absence" else F.sum("value")
+    wide = marked.groupBy("StationID").pivot("taxon", names).agg(together)
+    # By position: names may differ in case only.
+    placed = wide.toDF("StationID", *[f"_{i}" for i in range(len(names))])
+    return placed.select(
         "StationID",
         *[
-            F.nullif(F.coalesce(column, F.lit(0.0)), F.lit(float("nan"))).alias(name)
-            for name, column in quoted.items()
+            F.nullif(F.coalesce(F.col(f"_{i}"), F.lit(0.0)), F.lit(float("nan"))).alias(name)
+            for i, name in enumerate(names)
         ],
     )

@@ -73,20 +73,20 @@ def match_fuzzy(names: DataFrame, taxonomy: DataFrame, max_distance: int = 1) ->
         "name", F.explode(deletion_variants(F.col("name"), max_distance)).alias("_variant")
     )
     # Exploded sides are larger than their estimate: never broadcast them.
+    distance = F.levenshtein(F.col("Query"), F.col("name"), max_distance)
     pairs = (
         asked.join(known.hint("merge"), "_variant")
-        .select("Query", "name")
-        .distinct()
-        .withColumn(
-            "_distance", F.levenshtein(F.col("Query"), F.col("name"), max_distance)
-        )
-        .filter("_distance >= 0")
+        .select("Query", F.struct(distance.alias("distance"), "name").alias("_pair"))
+        .filter("_pair.distance >= 0")
     )
-    nearest = pairs.groupBy("Query").agg(F.min("_distance").alias("_distance"))
+    # A name has few candidates, see above; each once, and of these the nearest.
+    near = pairs.groupBy("Query").agg(F.collect_set("_pair").alias("_near"))
+    nearest = F.filter("_near", lambda p: p["distance"] == F.array_min("_near")["distance"])
     return (
-        pairs.join(nearest, ["Query", "_distance"])
+        near.select("Query", F.explode(nearest).alias("_pair"))
+        .select("Query", F.col("_pair.name").alias("name"))
         .join(taxonomy, "name")
-        .drop("_distance", "name")
+        .drop("name")
         .withColumn("isFuzzy", F.lit(1))
     )
 
@@ -136,11 +136,15 @@ def get_valid_names(names: DataFrame, taxonomy: DataFrame, max_distance: int = 1
 
     isFuzzy is 1 for every name without an exact match, hasNoMatch is 1 when no
     record could be chosen (T8). `names` has a column `Query`; with `max_distance`
-    0 there is no fuzzy matching. Every record of the taxonomy has a cand_id.
+    0 there is no fuzzy matching.
     """
+    # A record without a number is a record too, after the numbered ones.
+    numbered = F.coalesce("cand_id", F.lit(2**31 - 1)).cast(taxonomy.schema["cand_id"].dataType)
+    taxonomy = taxonomy.withColumn("cand_id", numbered)
     queries = names.select("Query").filter(F.col("Query").isNotNull()).distinct()
-    asked = queries.join(taxonomy.withColumnRenamed("name", "Query"), "Query", "left")
-    candidates = asked.withColumn("isFuzzy", F.col("cand_id").isNull().cast("int"))
+    known = taxonomy.withColumnRenamed("name", "Query").withColumn("_exact", F.lit(True))
+    asked = queries.join(known, "Query", "left")
+    candidates = asked.withColumn("isFuzzy", F.col("_exact").isNull().cast("int")).drop("_exact")
     if max_distance > 0:
         unmatched = candidates.filter("isFuzzy = 1").select("Query")
         candidates = candidates.unionByName(match_fuzzy(unmatched, taxonomy, max_distance))

@@ -23,7 +23,7 @@ from benthoframe.operators.bioconversion import (
     split_regressions,
 )
 from benthoframe.sources import dictionary as dd
-from benthoframe.sources.csv_files import MISSING, parse_value, unite
+from benthoframe.sources.csv_files import BROKEN_ROW, MISSING, parse_value, unite
 
 KEYS = {"stations": "StationID", "species": "EntryID", "bioconversion": "Taxon"}
 
@@ -190,6 +190,27 @@ def _violation(
     )
 
 
+def row_width_violations(part: DataFrame) -> DataFrame:
+    """Rows with more or fewer cells than their header, with the raw line as evidence."""
+    # The reader refuses to read the broken rows alone, so another column comes along.
+    other = next(F.col("`" + c.replace("`", "``") + "`") for c in part.columns if c not in ("File", BROKEN_ROW))
+    return part.filter(F.col(BROKEN_ROW).isNotNull()).select(
+        "File", F.lit("row_width").alias("rule"), F.coalesce(BROKEN_ROW, other).alias("row_key"),
+        F.lit(None).cast("string").alias("column"),
+        F.lit("the row has more or fewer cells than the header").alias("message"),
+        F.lit(1).cast("bigint").alias("n"),
+    )
+
+
+def empty_file_violations(files: DataFrame) -> DataFrame:
+    """Files without a header."""
+    return files.select(
+        "File", F.lit("empty_file").alias("rule"), F.lit(None).cast("string").alias("row_key"),
+        F.lit(None).cast("string").alias("column"), F.lit("the file is empty").alias("message"),
+        F.lit(1).cast("bigint").alias("n"),
+    )
+
+
 def header_violations(headers: DataFrame, table: str) -> DataFrame:
     """Violations of the rules about columns: V2, V3, V4, V8."""
     names = F.col("columns")

@@ -29,7 +29,12 @@ def construct_table(
         raise FileNotFoundError(f"No CSV files in {folder}.")
     typed = csv.unite([csv.type_columns(part, table) for part in parts])
     violations = csv.unite(
-        [va.header_violations(headers, table), *[va.validate_part(p, table) for p in parts]]
+        [
+            va.header_violations(headers, table),
+            va.empty_file_violations(csv.empty_files(spark, folder)),
+            *[va.row_width_violations(p) for p in parts],
+            *[va.validate_part(p, table) for p in parts],
+        ]
     )
     return typed, violations
 
@@ -156,7 +161,7 @@ def complete_database(
     worms = load_table(spark, data_folder, "taxonomy")
     factors = load_table(spark, data_folder, "conversion_factors")
     regressions = load_table(spark, data_folder, "regressions")
-    bio.assert_unique_conversion(factors, regressions)
+    bio.assert_unique_conversion(factors, regressions, worms)
 
     stations = complete_stations(load_table(spark, data_folder, "stations_initial"), bathymetry)
     species = sp.complete_species(

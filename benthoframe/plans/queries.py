@@ -55,7 +55,7 @@ def completed_species(spark: SparkSession, sf_dir: str) -> DataFrame:
     worms = settle(resolved_names(spark, sf_dir), "names")
     factors, regressions = bio.prepare_conversion(view(spark, sf_dir, "bioconversion"), worms)
     factors, regressions = settle(factors, "factors"), settle(regressions, "regressions")
-    bio.assert_unique_conversion(factors, regressions)
+    bio.assert_unique_conversion(factors, regressions, worms)
     return sp.complete_species(view(spark, sf_dir, "species"), worms, factors, regressions)
 
 

@@ -14,12 +14,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from benthoframe.functions.columns import ensure_columns, nan_to_null
+from benthoframe.functions.columns import ensure_columns
 from benthoframe.sources import dictionary as dd
 
 # Never present in the data: keeps an empty cell (NULL) apart from the text NA.
 _NO_NULL_TEXT = "\u0001"
 MISSING = "NA"
+# The raw line of a row that has more or fewer cells than the header of its file.
+BROKEN_ROW = "_broken_row"
 
 
 def read_headers(spark: SparkSession, folder: str) -> DataFrame:
@@ -50,23 +52,39 @@ def read_headers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def empty_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(File) of every file of a folder without a byte; readers never see those, so the folder is listed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    empty = [
+        (file.getPath().getName(),)
+        for status in fs.globStatus(path) or []
+        for file in (fs.listStatus(status.getPath()) if status.isDirectory() else [status])
+        if file.isFile() and file.getLen() == 0 and file.getPath().getName()[0] not in "._"
+    ]
+    return spark.createDataFrame(empty, "File string")
+
+
 def read_parts(
     spark: SparkSession, headers: DataFrame, multiline: bool = False
 ) -> list[DataFrame]:
     """One DataFrame of text columns and `File` per distinct header.
 
-    An empty cell is NULL; the text ``NA`` is kept until `type_columns`. Only the
-    list of files per distinct header passes through the driver.
+    An empty cell is NULL; the text ``NA`` is kept until `type_columns`. A row whose
+    number of cells is not that of the header has its line in `BROKEN_ROW`, which is
+    NULL otherwise. Only the list of files per distinct header passes through the driver.
     """
     by_header = headers.groupBy("columns").agg(F.collect_list("path").alias("paths")).collect()
     parts = []
     for row in sorted(by_header, key=lambda r: r["columns"]):
         names = _distinct(row["columns"])
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, BROKEN_ROW]])
         part = (
             spark.read.schema(schema)
             .option("header", True)
             .option("multiLine", multiline)
+            .option("columnNameOfCorruptRecord", BROKEN_ROW)
+            .option("columnPruning", False)  # else only the wanted cells are counted
             .option("nullValue", _NO_NULL_TEXT)
             .option("escape", '"')
             .option("ignoreLeadingWhiteSpace", True)
@@ -77,6 +95,7 @@ def read_parts(
             part.select(
                 F.col("_metadata.file_name").alias("File"),
                 *["`" + c.replace("`", "``") + "`" for c in names],
+                BROKEN_ROW,
             )
         )
     return parts
@@ -114,9 +133,10 @@ def parse_value(text: Column, datatype: str) -> Column:
         return F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("bigint"))
     if datatype == "Boolean":
         number = F.when(is_number(text), text.try_cast("double"))
-        return F.when(number == 1, True).when(number == 0, False)
+        word = F.lower(text)
+        return F.when((number == 1) | (word == "true"), True).when((number == 0) | (word == "false"), False)
     if datatype == "Date":
-        return F.try_to_date(text, "d/M/yyyy")
+        return F.coalesce(F.try_to_date(text, "d/M/yyyy"), F.try_to_date(text, "yyyy-MM-dd"))
     return text
 
 
@@ -140,14 +160,3 @@ def type_columns(raw: DataFrame, table: str) -> DataFrame:
     known = raw.select(*own, *[c.alias(n) for n, c in typed.items()])
     full = ensure_columns(known, dd.fields(table))
     return full.select(*own, *[a.name for a in dd.attributes(table)])
-
-
-def read_bioconversion(spark: SparkSession, path: str) -> DataFrame:
-    """The bio-conversion CSV as typed columns."""
-    return read_typed_folder(spark, path, "bioconversion").drop("File")
-
-
-def read_bathymetry(spark: SparkSession, path: str) -> DataFrame:
-    """A longitude, latitude, altitude CSV with header x, y, z."""
-    schema = "x double, y double, z double"
-    return nan_to_null(spark.read.schema(schema).option("header", True).csv(path))
