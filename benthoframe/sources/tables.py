@@ -10,9 +10,10 @@ def save_table(df: DataFrame, folder: str, name: str, as_csv: bool = False) -> N
     df.write.mode("overwrite").parquet(f"{folder}/{name}")
     if as_csv:
         stored = load_table(df.sparkSession, folder, name)
-        stored.write.mode("overwrite").option("nullValue", "NA").option("header", True).csv(
-            f"{folder}/{name}_csv"
-        )
+        # Dates as in the input files, so that the copy reads back.
+        stored.write.mode("overwrite").option("nullValue", "NA").option("header", True).option(
+            "dateFormat", "dd/MM/yyyy"
+        ).csv(f"{folder}/{name}_csv")
 
 
 def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
