@@ -7,7 +7,7 @@ positions of one mask agree (the tests prove it by trying all patterns). So equa
 candidates, and around each hit the aligned words are compared.
 
 The hashes of the items are joined to those of the documents as they are exploded, in one stage without a shuffle of the
-documents, while the items have at most `broadcast_rows` hashes. Beyond that the bare hashes of the documents are shuffled, and only documents with a hit
+documents, while the hashes and words of the items measure at most `broadcast_bytes`. Beyond that the bare hashes of the documents are shuffled, and only documents with a hit
 are read again.
 
 Defined results: null and empty texts are clean; items of fewer than `LEAST` words are not looked for; rows with the
@@ -29,6 +29,8 @@ WINDOW, LEAST = 13, 8
 LONG_MASKS = ((0, 1, 3, 6, 7),)
 SHORT_MASKS = ((0, 1, 2, 4, 5), (0, 1, 3, 5, 6), (0, 1, 2, 5, 6))
 _REACH = WINDOW - 1
+#: Bytes of a broadcast hash beside the letters of its words: row, array of the words around it and padding.
+_ROW_BYTES = 512
 _SPLIT = r"[^\p{L}\p{M}\p{N}]+"
 
 
@@ -64,7 +66,7 @@ def items_of(benchmark: DataFrame) -> DataFrame:
     return found.groupBy("words").agg(F.min("item_id").alias("item")).select("item", "words", F.size("words").alias("n")).where(F.col("n") >= LEAST)
 
 
-def overlaps(docs: DataFrame, items: DataFrame, ratio: float = 0.8, broadcast_rows: int = 1_000_000) -> DataFrame:
+def overlaps(docs: DataFrame, items: DataFrame, ratio: float = 0.8, broadcast_bytes: int = 64 << 20) -> DataFrame:
     """(doc_id, item, equal): the most equal words of an aligned window, of every contaminated pair."""
     long, short = items.where(F.col("n") >= WINDOW), items.where(F.col("n") < WINDOW)
     masks, seeds = LONG_MASKS, seeded(long, LONG_MASKS)
@@ -78,7 +80,9 @@ def overlaps(docs: DataFrame, items: DataFrame, ratio: float = 0.8, broadcast_ro
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text")).alias("words"))
     places = seeded(texts, masks)
     ours = F.array(*around(F.col("pos"), F.col("words"))).alias("ours")
-    if seeds.count() <= broadcast_rows:
+    letters = F.aggregate("theirs", F.lit(0).cast("long"), lambda n, w: n + F.coalesce(F.octet_length(w), F.lit(0)))
+    size = seeds.agg(F.coalesce(F.sum(letters + _ROW_BYTES), F.lit(0))).first()[0]
+    if size <= broadcast_bytes:
         hits = places.join(F.broadcast(seeds), "hash").select("doc_id", "item", "least", "short", "theirs", ours)
     else:
         bare = places.select("doc_id", "pos", "hash").join(seeds.select("hash").distinct(), "hash", "left_semi")
@@ -95,10 +99,10 @@ def overlaps(docs: DataFrame, items: DataFrame, ratio: float = 0.8, broadcast_ro
     return checked.groupBy("doc_id", "item").agg(F.max("equal").alias("equal"))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, ratio: float = 0.8, broadcast_rows: int = 1_000_000) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, ratio: float = 0.8, broadcast_bytes: int = 64 << 20) -> DataFrame:
     """doc_id, contaminated, n_items, items (ascending ids of the items found) and most_equal words of every row."""
     items = settle(items_of(benchmark), "items")
-    pairs = settle(overlaps(docs, items, ratio, broadcast_rows), "overlaps")
+    pairs = settle(overlaps(docs, items, ratio, broadcast_bytes), "overlaps")
     every = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words(F.col("text")).alias("words")).distinct()
     named = items.join(every, "words").select("item", "item_id")  # one row per benchmark row
     found = pairs.join(named, "item").groupBy(F.col("doc_id").alias("id")).agg(

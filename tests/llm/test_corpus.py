@@ -111,8 +111,8 @@ def test_decontamination(spark, docs, odd, empty):
     want = oracle([("documents", texts, "doc_id BIGINT, text VARCHAR"), ("benchmark", items, "item_id BIGINT, text VARCHAR")])
     df, benchmark = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     assert any(r[1] for r in want) and not all(r[1] for r in want)
-    for limit in (10**6, 0):
-        assert sorted(map(tuple, decontaminate.decontaminate(df, benchmark, broadcast_rows=limit).collect())) == want
+    for limit in (10**8, 0):
+        assert sorted(map(tuple, decontaminate.decontaminate(df, benchmark, broadcast_bytes=limit).collect())) == want
     assert len(decontaminate.decontaminate(odd, benchmark).collect()) == 10
     assert decontaminate.decontaminate(empty, benchmark).count() == 0
     assert not decontaminate.decontaminate(docs, benchmark.limit(0)).where("contaminated").count()
