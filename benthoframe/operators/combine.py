@@ -18,7 +18,7 @@ def combine_data_sources(
     """
     unknown = [c for c in order_of_preference if c not in df.columns]
     if unknown or not order_of_preference:
-        raise ValueError("Given column name in order of preference does not exist.")
+        raise ValueError(f"These sources are not columns of the table: {', '.join(unknown) or 'none given'}.")
     source = F.lit(order_of_preference[-1])
     for name in reversed(order_of_preference[:-1]):
         source = F.when(F.col(name).isNotNull(), F.lit(name)).otherwise(source)

@@ -11,9 +11,11 @@ from benthoframe.functions.columns import if_known, left_join_null_safe
 from benthoframe.operators.combine import combine_data_sources
 
 UPSCALED = ("Count", "AFDW_g", "AFDW_g_from_WW", "AFDW_g_calc")
+# The key of the result table.
 TAXON_KEY = (
     "StationID", "valid_name", "File", "rank", "phylum", "class", "order", "family", "genus"
 )
+# Result columns and their sources, best first.
 STATION_SOURCES = {
     "Lat_DD": ("Lat_DD_midpt", "Lat_DD_calc"),
     "Lon_DD": ("Lon_DD_midpt", "Lon_DD_calc"),
@@ -21,11 +23,10 @@ STATION_SOURCES = {
     "Track_length_m": ("Track_length_m_preset", "Track_dist_m_Odometer", "Track_dist_m_GPS"),
     "Bearings": ("Bearing", "Bearing_calc"),
 }
+# Every source, and the measured values that the sources derive from.
 REPLACED_COLUMNS = (
-    "Lat_DD_midpt", "Lon_DD_midpt", "Lat_start_DD", "Lon_start_DD", "Lat_stop_DD",
-    "Lon_stop_DD", "Lon_DD_calc", "Lat_DD_calc", "Track_length_m_preset",
-    "Water_depth_m_cruise", "Odometer_count", "Track_dist_m_GPS", "Track_dist_m_Odometer",
-    "Water_depth_m_Bathy", "Water_depth_m_Bathy2", "Bearing", "Bearing_calc",
+    *(source for sources in STATION_SOURCES.values() for source in sources),
+    "Lat_start_DD", "Lon_start_DD", "Lat_stop_DD", "Lon_stop_DD", "Odometer_count",
 )
 
 

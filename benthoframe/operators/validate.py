@@ -23,7 +23,7 @@ from benthoframe.operators.bioconversion import (
     split_regressions,
 )
 from benthoframe.sources import dictionary as dd
-from benthoframe.sources.csv_files import BROKEN_ROW, MISSING, parse_value, unite
+from benthoframe.sources.csv_files import BROKEN_ROW, MISSING, parse_value
 
 KEYS = {"stations": "StationID", "species": "EntryID", "bioconversion": "Taxon"}
 
@@ -259,7 +259,7 @@ def header_violations(headers: DataFrame, table: str) -> DataFrame:
 def duplicate_ids(df: DataFrame, id_column: str) -> DataFrame:
     """IDs that occur more than once in a file (V5); n counts the surplus rows."""
     if id_column not in df.columns:
-        raise ValueError("Unknown ID_column given.")
+        raise ValueError(f"There is no column {id_column} to check for repeated IDs.")
     doubles = (
         df.groupBy("File", id_column).agg((F.count(F.lit(1)) - 1).alias("n")).filter("n > 0")
     )
@@ -267,47 +267,50 @@ def duplicate_ids(df: DataFrame, id_column: str) -> DataFrame:
                       F.col(id_column))
 
 
+def sample_violations(species: DataFrame, fractions: bool = True, weights: bool = True) -> DataFrame:
+    """Rules about the entries of a taxon in a sample: V16, V19, V22, in one aggregate.
+
+    `fractions`: more than one reported fraction. `weights`: bulk samples without any weight.
+    """
+    counted, checks = [], []
+
+    def add(rule: str, column: str, message: str, n: str, bad: Column) -> None:
+        checks.append(F.when(bad, F.struct(
+            F.lit(rule).alias("rule"), F.lit(column).alias("column"), F.lit(message).alias("message"),
+            F.col(n).cast("bigint").alias("n"),
+        )))
+
+    if fractions:
+        present = F.col("Count") > -1
+        counted.append(F.count_if(present).alias("_present"))
+        bad = F.lit(False)
+        for c in ("Fraction", "is_Fraction_assumed"):
+            value = F.when(present, F.col(c))
+            counted += [F.count(value).alias(f"_known_{c}"), (F.min(value) != F.max(value)).alias(f"_differs_{c}")]
+            known = F.col(f"_known_{c}")
+            bad |= F.coalesce(f"_differs_{c}", F.lit(False)) | ((known > 0) & (known < F.col("_present")))
+        add("fraction_inconsistent", "Fraction",
+            "Fraction and is_Fraction_assumed must be equal for a taxon in a sample", "_present", bad)
+    for weight, (kind, _) in WEIGHTS.items():
+        if weights and weight in species.columns and kind in species.columns:
+            bulk = F.col(kind) == "Sample"
+            counted += [F.count_if(bulk).alias(f"_bulk_{weight}"), F.count(F.when(bulk, F.col(weight))).alias(f"_weighed_{weight}")]
+            add("bulk_weight_missing", weight, f"every {weight} of the Sample entries is NA", f"_bulk_{weight}",
+                (F.col(f"_bulk_{weight}") > 0) & (F.col(f"_weighed_{weight}") == 0))
+    samples = species.groupBy("File", "StationID", "Species_reported").agg(*counted)
+    found = samples.select("File", F.concat_ws(" / ", "StationID", "Species_reported").alias("row_key"),
+                           F.explode(F.array_compact(F.array(*checks))).alias("v"))
+    return found.select("File", "v.rule", "row_key", "v.column", "v.message", "v.n")
+
+
 def inconsistent_fractions(species: DataFrame) -> DataFrame:
     """Taxa of a station with more than one reported fraction."""
-
-    def differs(column: str) -> Column:
-        value = F.col(column)
-        some_null = (F.count(value) > 0) & (F.count(value) < F.count(F.lit(1)))
-        return F.coalesce(F.min(value) != F.max(value), F.lit(False)) | some_null
-
-    groups = (
-        species.filter("Count > -1")
-        .groupBy("File", "StationID", "Species_reported")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            (differs("Fraction") | differs("is_Fraction_assumed")).alias("bad"),
-        )
-        .filter("bad")
-    )
-    return _violation(
-        groups, "fraction_inconsistent", "Fraction",
-        "Fraction and is_Fraction_assumed must be equal for a taxon in a sample",
-        F.concat_ws(" / ", "StationID", "Species_reported"),
-    )
+    return sample_violations(species, weights=False)
 
 
 def empty_bulk_weights(species: DataFrame) -> DataFrame:
     """Bulk samples without any weight."""
-    results = []
-    for weight, (kind, _) in WEIGHTS.items():
-        if weight in species.columns and kind in species.columns:
-            groups = (
-                species.filter(F.col(kind) == "Sample")
-                .groupBy("File", "StationID", "Species_reported")
-                .agg(F.count(F.lit(1)).alias("n"), F.count(weight).alias("known"))
-                .filter("known = 0")
-            )
-            results.append(_violation(
-                groups, "bulk_weight_missing", weight,
-                f"every {weight} of the Sample entries is NA",
-                F.concat_ws(" / ", "StationID", "Species_reported"),
-            ))
-    return unite(results)
+    return sample_violations(species, fractions=False)
 
 
 def orphan_stations(species: DataFrame, stations: DataFrame) -> DataFrame:
@@ -360,10 +363,7 @@ def validate_part(raw: DataFrame, table: str) -> DataFrame:
 
 def validate_species_set(species: DataFrame) -> DataFrame:
     """Set rules on all entries: V5, V16, V19, V22."""
-    return unite([
-        duplicate_ids(species, "EntryID"), inconsistent_fractions(species),
-        empty_bulk_weights(species),
-    ])
+    return duplicate_ids(species, "EntryID").unionByName(sample_violations(species))
 
 
 def validate_stations_set(stations: DataFrame) -> DataFrame:

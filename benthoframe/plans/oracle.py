@@ -422,8 +422,8 @@ FROM (SELECT File, EntryID, StationID AS sid, valid_name, coalesce(is_ID_confide
 JOIN (SELECT * EXCLUDE (File) FROM stations_clean) s ON s.StationID = c.sid
 WHERE NOT (Size_mm IS NULL AND Individual_WW_g IS NULL AND Individual_AFDW_g IS NULL)""")
 oracle("species_biomass", f"""
-SELECT EntryID, valid_name, hasNoMatch, isFuzzy, WW_to_AFDW, A_factor, B_exponent, Output_unit,
- {singles('Size_mm', 'WW_g_calc', 'AFDW_g_calc', 'WW_g_threshold', 'AFDW_g_from_WW')} FROM completed""")
+SELECT EntryID, valid_name, hasNoMatch, isFuzzy, Output_unit,
+ {singles('WW_to_AFDW', 'A_factor', 'B_exponent', 'Size_mm', 'WW_g_calc', 'AFDW_g_calc', 'WW_g_threshold', 'AFDW_g_from_WW')} FROM completed""")
 oracle("upscale_round", f"""
 SELECT EntryID, Count, {singles('AFDW_g', 'AFDW_g_from_WW', 'AFDW_g_calc')} FROM upscaled""")
 COMMON["kept"] = """
@@ -582,7 +582,7 @@ oracle("violations_station_rules", _rules("faulty_stations", "StationID", [
        f"NOT regexp_full_match({c}, '[0-2][0-9]:[0-5][0-9]:[0-5][0-9]')")
       for c in ("Time_start", "Time_stop")],
     *_below("negative", "may not be negative", "< 0", "Track_length_m_preset", "Blade_depth_cm",
-            "Blade_width_cm", "Water_depth_m_cruise", "Odometer_count"),
+            "Blade_width_cm", "Tow_speed_knots", "Water_depth_m_cruise", "Odometer_count"),
     ("bearing_range", "Bearing", "must lie in -180 to 180", "abs(Bearing) > 180"),
     ("objective", "Station_objective", "Incomplete needs taxa in Excluded or Focus",
      "Station_objective = 'Incomplete' AND Excluded IS NULL AND Focus IS NULL"),
@@ -642,3 +642,59 @@ oracle("violations_orphan_stations", _set_rule(
     "station_unknown", "StationID", "StationID is missing in the stations table", "StationID",
     """SELECT StationID, count(*) AS n FROM faulty_species
 WHERE StationID NOT IN (SELECT StationID FROM stations) GROUP BY StationID""", NO_FILE))
+
+
+def _text(c: str, unreadable: str = "", message: str = "", rule: str = "") -> list[tuple[str, str, str, str]]:
+    full = f"{c} IS NOT NULL AND {c} NOT IN ('', 'NaN', 'NA')"
+    return [
+        ("empty_cell", c, "cells may not be empty", f"{c} IS NULL OR {c} IN ('', 'NaN')"),
+        ("required_missing", c, "a required value is NA", f"{c} = 'NA'"),
+        *([(rule, c, message, f"{full} AND {unreadable}")] if rule else []),
+    ]
+
+
+NUMBER = "'[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?'"
+oracle("violations_text_rules", _rules("text_species", "EntryID", [
+    *_text("EntryID"), *_text("StationID"), *_text("Species_reported"),
+    *_text("Fraction", f"NOT regexp_full_match(Fraction, {NUMBER})", "not a number", "not_double"),
+    *_text("is_Fraction_assumed", "lower(is_Fraction_assumed) NOT IN ('0', '1', 'true', 'false')",
+           "must be 0, 1 or NA", "not_boolean"),
+    ("empty_cell", "Count", "cells may not be empty", "Count IS NULL OR Count IN ('', 'NaN')"),
+    ("not_integer", "Count", "not a whole number",
+     "Count NOT IN ('', 'NaN', 'NA') AND NOT regexp_full_match(Count, '[+-]?[0-9]+')"),
+    ("count_zero", "Count", "may not be 0, use NA", "Count = '0'"),
+]) + " UNION ALL " + _rules("text_stations", "StationID", [
+    *_text("StationID"),
+    *_text("Date", "try_strptime(Date, '%d/%m/%Y') IS NULL", "must be a date DD/MM/YYYY", "date_format"),
+]))
+
+
+def _header(kind: int, rule: str, column: str, message: str) -> str:
+    return f"""SELECT File, '{rule}' AS rule, CAST(NULL AS VARCHAR) AS row_key, '{column}' AS "column",
+ '{message}' AS message, CAST(1 AS BIGINT) AS n FROM file_columns WHERE kind = {kind}"""
+
+
+_BASE = ("CruiseID, StationID, Date, Blade_depth_cm, Blade_width_cm, is_Quantitative, Station_objective,"
+         " Lat_start_DD, Lon_start_DD, Lat_stop_DD, Lon_stop_DD")
+oracle("violations_headers", " UNION ALL ".join([
+    _header(1, "required_absent", "CruiseID", "required columns are absent"),
+    _header(2, "name_invalid", "Extra", "unknown column names"),
+    _header(3, "name_repeated", _BASE + ", Comment, Comment", "column names occur more than once"),
+    _header(4, "alternatives_absent", "Lat_start_DD, Lon_start_DD, Lat_stop_DD, Lon_stop_DD",
+            "no complete set of alternative columns"),
+    _header(5, "group_incomplete", "Lon_DD_midpt, Track_length_m_preset",
+            "columns that belong together are absent"),
+]))
+oracle("boolean_defaults", """
+SELECT EntryID, CASE WHEN Size_dimension IS NOT NULL THEN is_Shell_removed ELSE false END AS is_Shell_removed
+FROM species""")
+oracle("lookup_doubles", f"""
+SELECT 'factors' AS lookup, valid_name || ', ' || is_Shell_removed AS key, count(*) AS Count FROM (
+ SELECT DISTINCT {FACTOR_COLUMNS} FROM named_merged WHERE valid_name IS NOT NULL AND WW_to_AFDW > 0)
+GROUP BY valid_name, is_Shell_removed HAVING count(*) > 1
+UNION ALL
+SELECT 'regressions', valid_name || ', ' || Size_dimension || ', ' || is_Shell_removed, count(*) FROM (
+ SELECT DISTINCT {REGRESSION_COLUMNS} FROM named_merged WHERE valid_name IS NOT NULL AND Output_unit IS NOT NULL)
+GROUP BY valid_name, Size_dimension, is_Shell_removed HAVING count(*) > 1
+UNION ALL
+SELECT 'taxonomy', name, count(*) FROM taxonomy_candidates GROUP BY name HAVING count(*) > 1""")

@@ -7,6 +7,8 @@ executor costs a task, the lookups have a known size, and filters reach the scan
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from benthoframe.operators import bioconversion as bio
@@ -54,6 +56,8 @@ def construct_database(
     species, species_faults = construct_table(spark, f"{in_folder}/Species", "species", multiline)
     species = va.apply_boolean_defaults(species)
     va.assert_valid(station_faults.unionByName(species_faults))
+    # typed once; the set rules and the stored tables read that instead of the CSV files
+    stations, species = settle(stations, "stations"), settle(species, "species")
     va.assert_valid(csv.unite([
         va.validate_stations_set(stations),
         va.validate_species_set(species),
@@ -77,6 +81,11 @@ def check_bioconversion(
     return typed.drop("File")
 
 
+def checked_conversion(spark: SparkSession, given: DataFrame | str) -> DataFrame:
+    """A conversion table, or the checked one of a CSV path."""
+    return check_bioconversion(spark, given) if isinstance(given, str) else given
+
+
 # --- reference tables ----------------------------------------------------------
 
 def collect_bathymetry(
@@ -101,7 +110,7 @@ def collect_bathymetry(
 def collect_taxonomy(
     spark: SparkSession,
     taxonomy: DataFrame,
-    conversion_data: DataFrame,
+    conversion_data: DataFrame | str = "inputfiles/bioconversion.csv",
     species: DataFrame | None = None,
     data_folder: str = "data",
     out_folder: str = "data",
@@ -111,6 +120,7 @@ def collect_taxonomy(
     """Resolve all names against a taxonomy table and store the result."""
     if species is None:
         species = load_table(spark, data_folder, "species_initial")
+    conversion_data = checked_conversion(spark, conversion_data)
     resolved = tx.resolve_taxonomy(species, conversion_data, taxonomy, max_distance)
     save_table(resolved, out_folder, "taxonomy", as_csv)
     return load_table(spark, out_folder, "taxonomy")
@@ -118,16 +128,18 @@ def collect_taxonomy(
 
 def prepare_bioconversion(
     spark: SparkSession,
-    conversion_data: DataFrame,
+    conversion_data: DataFrame | str = "inputfiles/bioconversion.csv",
     worms: DataFrame | None = None,
     data_folder: str = "data",
     out_folder: str = "data",
     as_csv: bool = False,
+    levels: Sequence[str] = bio.LEVELS,
 ) -> tuple[DataFrame, DataFrame]:
     """Store the conversion factors and regressions by accepted name."""
     if worms is None:
         worms = load_table(spark, data_folder, "taxonomy")
-    factors, regressions = bio.prepare_conversion(conversion_data, worms)
+    conversion_data = checked_conversion(spark, conversion_data)
+    factors, regressions = bio.prepare_conversion(conversion_data, worms, levels)
     bio.assert_unique_conversion(factors, regressions)
     save_table(factors, out_folder, "conversion_factors", as_csv)
     save_table(regressions, out_folder, "regressions", as_csv)
@@ -139,11 +151,13 @@ def prepare_bioconversion(
 
 # --- complete --------------------------------------------------------------------
 
-def complete_stations(stations: DataFrame, bathymetry: DataFrame) -> DataFrame:
+def complete_stations(
+    stations: DataFrame, bathymetry: DataFrame, tick_length_m: float = 2
+) -> DataFrame:
     """All additions to the stations."""
     return (
         stations.transform(geometry.add_track_geometry)
-        .transform(geometry.add_track_length_Odometer)
+        .transform(geometry.add_track_length_Odometer, tick_length_m)
         .transform(depth.add_depths, bathymetry)
     )
 
@@ -154,6 +168,7 @@ def complete_database(
     out_folder: str = "data",
     bathymetry: DataFrame | None = None,
     as_csv: bool = True,
+    tick_length_m: float = 2,
 ) -> dict[str, DataFrame]:
     """Complete stations and entries and store them (E9); returns the reports R1-R4."""
     if bathymetry is None:
@@ -163,7 +178,7 @@ def complete_database(
     regressions = load_table(spark, data_folder, "regressions")
     bio.assert_unique_conversion(factors, regressions, worms)
 
-    stations = complete_stations(load_table(spark, data_folder, "stations_initial"), bathymetry)
+    stations = complete_stations(load_table(spark, data_folder, "stations_initial"), bathymetry, tick_length_m)
     species = sp.complete_species(
         load_table(spark, data_folder, "species_initial"), worms, factors, regressions
     )
@@ -181,23 +196,31 @@ def complete_database(
 
 # --- finalize ----------------------------------------------------------------------
 
-def settle_conflicts(species: DataFrame) -> DataFrame:
-    """The taxa with conflicting weights as a stored lookup."""
-    return settle(finalize.conflicting_taxa(finalize.drop_non_taxa(species)), "conflicts")
+def settle_conflicts(species: DataFrame, per_station: bool = False) -> DataFrame:
+    """The taxa (or stations and taxa) with conflicting weights as a stored lookup."""
+    kept = finalize.drop_non_taxa(species)
+    return settle(finalize.conflicting_taxa(kept, per_station), "conflicts")
 
 
 def density_table(
-    species_final: DataFrame, stations_final: DataFrame, quantitative_only: bool = False
+    species_final: DataFrame,
+    stations_final: DataFrame,
+    quantitative_only: bool = False,
+    default_count: float = 1,
 ) -> DataFrame:
     """Density and biomass per station and taxon."""
     return finalize.join_densities(
-        finalize.aggregate_taxa(species_final), stations_final, quantitative_only
+        finalize.aggregate_taxa(species_final, default_count), stations_final, quantitative_only
     )
 
 
-def individuals_table(species_final: DataFrame, stations_final: DataFrame) -> DataFrame:
+def individuals_table(
+    species_final: DataFrame, stations_final: DataFrame, suffixes: tuple[str, str] = ("_sp", "_st")
+) -> DataFrame:
     """Size and weight per specimen with its station."""
-    return finalize.join_individuals(finalize.select_individuals(species_final), stations_final)
+    return finalize.join_individuals(
+        finalize.select_individuals(species_final), stations_final, suffixes
+    )
 
 
 def finalize_database(
@@ -206,10 +229,19 @@ def finalize_database(
     out_folder: str = "data",
     database_folder: str = ".",
     as_csv: bool = True,
+    per_station: bool = False,
+    upscale_wet_weight: bool = False,
+    quantitative_only: bool = False,
+    default_count: float = 1,
+    suffixes: tuple[str, str] = ("_sp", "_st"),
 ) -> tuple[DataFrame, DataFrame]:
-    """Clean, aggregate and join the completed tables and store the results."""
+    """Clean, aggregate and join the completed tables and store the results.
+
+    The options are those of the steps in `operators.finalize`.
+    """
     additions = load_table(spark, data_folder, "species_additions")
-    cleaned = finalize.clean_species(additions, settle_conflicts(additions))
+    conflicts = settle_conflicts(additions, per_station)
+    cleaned = finalize.clean_species(additions, conflicts, upscale_wet_weight)
     save_table(cleaned, out_folder, "species_final", as_csv)
     stations = finalize.clean_stations(load_table(spark, data_folder, "stations_additions"))
     save_table(stations, out_folder, "stations_final", as_csv)
@@ -217,10 +249,11 @@ def finalize_database(
     species_final = load_table(spark, out_folder, "species_final")
     stations_final = load_table(spark, out_folder, "stations_final")
     save_table(
-        density_table(species_final, stations_final), database_folder, "database", as_csv
+        density_table(species_final, stations_final, quantitative_only, default_count),
+        database_folder, "database", as_csv,
     )
     save_table(
-        individuals_table(species_final, stations_final),
+        individuals_table(species_final, stations_final, suffixes),
         database_folder, "database_individuals", as_csv,
     )
     return (

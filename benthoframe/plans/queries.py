@@ -121,10 +121,12 @@ def individuals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def species_biomass(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E1-E8."""
-    columns = ("Size_mm", "WW_g_calc", "AFDW_g_calc", "WW_g_threshold", "AFDW_g_from_WW")
+    columns = (
+        "WW_to_AFDW", "A_factor", "B_exponent", "Size_mm", "WW_g_calc", "AFDW_g_calc",
+        "WW_g_threshold", "AFDW_g_from_WW",
+    )
     done = completed_species(spark, sf_dir).select(
-        "EntryID", "valid_name", "hasNoMatch", "isFuzzy", "WW_to_AFDW", "A_factor", "B_exponent",
-        "Output_unit", *columns,
+        "EntryID", "valid_name", "hasNoMatch", "isFuzzy", "Output_unit", *columns,
     )
     return with_single(done, *columns)
 
@@ -499,6 +501,44 @@ def violations_sample_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va.empty_bulk_weights(view(spark, sf_dir, "faulty_species"))
 
 
+@query
+def violations_text_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1, V6, V9, V10, V13 on the text of files."""
+    species = va.validate_part(view(spark, sf_dir, "text_species"), "species")
+    stations = view(spark, sf_dir, "text_stations")
+    found = va.validate_part(stations, "stations")
+    # a file of three columns lacks every alternative; the header rules report that
+    return species.unionByName(found.filter("rule <> 'alternatives_missing'"))
+
+
+@query
+def violations_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2, V3, V4, V8 on the columns of one file per customer and year."""
+    base = ("CruiseID", "StationID", "Date", "Blade_depth_cm", "Blade_width_cm", "is_Quantitative",
+            "Station_objective", "Lat_start_DD", "Lon_start_DD", "Lat_stop_DD", "Lon_stop_DD")
+    kinds = (base, base[1:], (*base, "Extra"), (*base, "Comment", "Comment"), base[:7], (*base, "Lat_DD_midpt"))
+    columns = F.array(*[F.array(*[F.lit(c) for c in k]) for k in kinds])
+    headers = view(spark, sf_dir, "file_columns").select("File", F.get(columns, F.col("kind").cast("int")).alias("columns"))
+    return va.header_violations(headers, "stations")
+
+
+@query
+def boolean_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V32 on entries without a note on the shell."""
+    entries = view(spark, sf_dir, "species").select(
+        "EntryID", F.when(F.col("Size_dimension").isNotNull(), F.col("is_Shell_removed")).alias("is_Shell_removed")
+    )
+    return va.apply_boolean_defaults(entries)
+
+
+@query
+def lookup_doubles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B13, V34 on lookups that are not unique: names merged by fuzzy matching, and taxa listed by their candidates."""
+    conversion = named_conversion(spark, sf_dir, 1)
+    worms = view(spark, sf_dir, "taxonomy_candidates").withColumnRenamed("name", "Query")
+    return bio.lookup_doubles(bio.split_factors(conversion), bio.split_regressions(conversion), worms)
+
+
 @query
 def violations_orphan_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V30."""

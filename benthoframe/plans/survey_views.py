@@ -43,9 +43,9 @@ VIEWS["species"] = """
 SELECT 'sp_' || year(o_orderdate) || '.csv' AS File,
  l_orderkey || '_' || l_linenumber || '_' || l_partkey || '_' || l_suppkey AS EntryID,
  'C' || (o_custkey % 40) || '#' || l_orderkey AS StationID,
- CASE WHEN (l_orderkey + length(p_name)) % 3 = 0 THEN CAST(0.5 AS DOUBLE) WHEN (l_orderkey + length(p_name)) % 3 = 1 THEN CAST(0.25 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS Fraction,
+ CASE WHEN (l_orderkey + length(p_name)) % 3 = 0 THEN CAST(0.5 AS DOUBLE) WHEN (l_orderkey + length(p_name)) % 3 = 1 THEN CAST(0.8 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS Fraction,
  l_orderkey % 2 = 0 AS is_Fraction_assumed,
- p_name AS Species_reported,
+ CASE WHEN l_suppkey % 10 = 3 THEN split_part(p_name, ' ', 2) ELSE p_name END AS Species_reported,
  CASE WHEN l_linenumber = 7 THEN NULL WHEN l_quantity = 1 THEN -1 ELSE CAST(l_quantity AS BIGINT) END AS Count,
  CASE WHEN l_linenumber % 3 = 0 THEN NULL WHEN l_returnflag = 'A' THEN 'Shell_length' WHEN l_returnflag = 'N' THEN 'Max_length' ELSE 'Area' END AS Size_dimension,
  CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) END AS Size_value,
@@ -76,39 +76,46 @@ UNION ALL
 SELECT DISTINCT p_name, 2, split_part(p_name, ' ', 2) || ' alt', 'unaccepted', 0, 'Species', 'phy' || (length(split_part(p_name, ' ', 2)) % 3), 'cla' || (length(split_part(p_name, ' ', 2)) % 4),
  'ord_' || substr(split_part(p_name, ' ', 2), 1, 1), 'fam_' || substr(split_part(p_name, ' ', 2), 1, 2), split_part(p_name, ' ', 2)
 FROM {part} WHERE split_part(p_name, ' ', 1) IN ('red', 'hot')
+UNION ALL
+SELECT DISTINCT split_part(p_name, ' ', 2), 1, split_part(p_name, ' ', 2), 'accepted', 0, 'Genus', 'phy' || (length(split_part(p_name, ' ', 2)) % 3), 'cla' || (length(split_part(p_name, ' ', 2)) % 4),
+ 'ord_' || substr(split_part(p_name, ' ', 2), 1, 1), 'fam_' || substr(split_part(p_name, ' ', 2), 1, 2), split_part(p_name, ' ', 2)
+FROM {part}
 """
 
 VIEWS["bioconversion"] = """
 SELECT DISTINCT p_name AS Taxon, CAST((length(p_name) % 10 + 5) / 100.0 AS DOUBLE) AS WW_to_AFDW, 'ref' AS Reference_WW_to_AFDW, CAST(NULL AS VARCHAR(9)) AS Comment_WW_to_AFDW,
- CASE WHEN length(p_name) % 2 = 0 THEN 'Shell_length' ELSE 'Max_length' END AS Size_dimension, 'mm' AS Size_unit,
+ CASE WHEN length(p_name) % 4 < 2 THEN 'Shell_length' ELSE 'Max_length' END AS Size_dimension, 'mm' AS Size_unit,
  CAST(length(p_name) / 100000.0 AS DOUBLE) AS A_factor, CAST(2.5 AS DOUBLE) AS B_exponent,
  CASE WHEN length(p_name) % 3 = 0 THEN 'AFDW_g' ELSE 'WW_g' END AS Output_unit, 'ref' AS Reference_regression, CAST(NULL AS VARCHAR(9)) AS Comment_regression,
  p_partkey % 2 AS is_Shell_removed
 FROM {part} WHERE split_part(p_name, ' ', 1) <> 'red'
+UNION ALL
+SELECT DISTINCT split_part(p_name, ' ', 2), CAST(0.15 AS DOUBLE), 'genus', CAST(NULL AS VARCHAR(9)), 'Shell_length', 'mm', CAST(0.0002 AS DOUBLE), CAST(2.5 AS DOUBLE), 'WW_g', 'genus', CAST(NULL AS VARCHAR(9)), 1
+FROM {part}
 """
 
 VIEWS["bathymetry"] = """
 SELECT CAST(20 + i AS DOUBLE) / 10 AS x, CAST(510 + j AS DOUBLE) / 10 AS y, -CAST(10 + (i * 7 + j * 3) % 50 AS DOUBLE) AS z
-FROM (SELECT DISTINCT o_orderkey % 50 AS i FROM {orders}) a CROSS JOIN (SELECT DISTINCT o_orderkey % 50 AS j FROM {orders}) b
+FROM (SELECT DISTINCT o_orderkey % 40 AS i FROM {orders}) a CROSS JOIN (SELECT DISTINCT o_orderkey % 40 AS j FROM {orders}) b
 """
 
 # The same tables with faults of every kind, for the validation rules.
 VIEWS["faulty_species"] = """
 SELECT File, EntryID,
  CASE WHEN Count = 14 THEN 'X' || StationID ELSE StationID END AS StationID,
- CASE WHEN Count = 2 THEN CAST(1.5 AS DOUBLE) ELSE Fraction END AS Fraction,
+ CASE WHEN Count = 2 THEN CAST(1.5 AS DOUBLE) WHEN Count = 15 THEN CAST(-0.5 AS DOUBLE) ELSE Fraction END AS Fraction,
  is_Fraction_assumed,
  CASE WHEN Count = 13 THEN NULL ELSE Species_reported END AS Species_reported,
  CASE WHEN Count = 3 THEN 0 WHEN Count = 4 THEN -2 ELSE Count END AS Count,
- Size_dimension,
+ CASE WHEN Size_value = 11 THEN 'Girth' WHEN Size_value = 12 THEN NULL ELSE Size_dimension END AS Size_dimension,
  CASE WHEN Size_value = 9 THEN NULL WHEN Size_value = 10 THEN -Size_value ELSE Size_value END AS Size_value,
  CASE WHEN Size_value = 7 THEN 'inch' WHEN Size_value = 8 THEN NULL ELSE Size_unit END AS Size_unit,
  CASE WHEN Count = 5 THEN NULL WHEN Count = 9 THEN -WW_g - 1 ELSE WW_g END AS WW_g,
- Weight_type,
+ CASE WHEN Count = 7 THEN 'Bulk' ELSE Weight_type END AS Weight_type,
  CASE WHEN Count = 6 THEN NULL WHEN Count = 8 THEN -Threshold_scale ELSE Threshold_scale END AS Threshold_scale,
  is_Shell_removed, is_Partial_WW,
- CASE WHEN Count = 12 THEN NULL ELSE AFDW_g END AS AFDW_g,
- Weight_type_AFDW,
+ CASE WHEN Count = 12 OR Count = 18 THEN NULL WHEN Count = 16 THEN -AFDW_g - 1 ELSE AFDW_g END AS AFDW_g,
+ CASE WHEN Count = 17 THEN 'Bulk' WHEN Count = 18 THEN 'Sample' ELSE Weight_type_AFDW END AS Weight_type_AFDW,
  CASE WHEN Count = 10 THEN CAST(0 AS DOUBLE) ELSE Threshold_scale_AFDW END AS Threshold_scale_AFDW,
  CASE WHEN Count = 11 THEN NULL ELSE is_Partial_AFDW END AS is_Partial_AFDW,
  is_ID_confident, is_Preserved, Comment
@@ -133,22 +140,45 @@ SELECT File, CruiseID, StationID,
  CASE WHEN Odometer_count = 54 THEN '23:60:00' END AS Time_stop,
  CASE WHEN Odometer_count = 56 THEN -Water_depth_m_cruise ELSE Water_depth_m_cruise END AS Water_depth_m_cruise,
  CASE WHEN Odometer_count = 57 THEN -1 ELSE Odometer_count END AS Odometer_count,
- Bearing * 2 AS Bearing, Comment
+ Bearing * 2 AS Bearing, CASE WHEN Odometer_count = 58 THEN CAST(-1 AS DOUBLE) ELSE CAST(2 AS DOUBLE) END AS Tow_speed_knots, Comment
 FROM {stations}
 """
 
 VIEWS["faulty_bioconversion"] = """
-SELECT DISTINCT p_name AS Taxon, CAST(p_size / 40.0 AS DOUBLE) AS WW_to_AFDW, 'ref' AS Reference_WW_to_AFDW,
+SELECT DISTINCT p_name AS Taxon, CASE WHEN p_size = 7 THEN CAST(-0.1 AS DOUBLE) ELSE CAST(p_size / 40.0 AS DOUBLE) END AS WW_to_AFDW, 'ref' AS Reference_WW_to_AFDW,
  CAST(NULL AS VARCHAR(9)) AS Comment_WW_to_AFDW,
  CASE WHEN p_size % 10 = 0 THEN 'Width' ELSE 'Shell_length' END AS Size_dimension,
  CASE WHEN p_size % 10 = 1 THEN 'cm' ELSE 'mm' END AS Size_unit,
- CAST(length(p_name) / 100000.0 AS DOUBLE) AS A_factor, CAST(2.5 AS DOUBLE) AS B_exponent,
+ CAST((length(p_name) + p_size) / 100000.0 AS DOUBLE) AS A_factor, CAST(2.5 AS DOUBLE) AS B_exponent,
  CASE WHEN p_size % 10 = 2 THEN 'g' ELSE 'AFDW_g' END AS Output_unit, 'ref' AS Reference_regression,
  CAST(NULL AS VARCHAR(9)) AS Comment_regression,
  CASE WHEN p_size % 10 = 3 THEN NULL ELSE p_partkey % 2 = 0 END AS is_Shell_removed
 FROM {part}
 """
 
+# Entries as they stand in a file, as text, with cells that cannot be read.
+VIEWS["text_species"] = """
+SELECT 'sp_' || year(o_orderdate) || '.csv' AS File,
+ CASE WHEN l_quantity = 20 THEN '' ELSE l_orderkey || '_' || l_linenumber || '_' || l_partkey || '_' || l_suppkey END AS EntryID,
+ CASE WHEN l_quantity = 21 THEN 'NA' ELSE 'C' || o_custkey END AS StationID,
+ CASE WHEN l_quantity = 22 THEN 'half' WHEN l_quantity = 23 THEN 'NaN' ELSE '0.5' END AS Fraction,
+ CASE WHEN l_quantity = 24 THEN 'yes' WHEN l_quantity = 25 THEN '2' WHEN l_quantity = 26 THEN 'TRUE' ELSE '0' END AS is_Fraction_assumed,
+ CASE WHEN l_quantity = 27 THEN CAST(NULL AS VARCHAR(9)) ELSE p_name END AS Species_reported,
+ CASE WHEN l_quantity = 28 THEN '1.5' WHEN l_quantity = 29 THEN '0' WHEN l_quantity = 30 THEN 'NA' ELSE '4' END AS Count
+FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {part} ON l_partkey = p_partkey
+"""
+
+VIEWS["text_stations"] = """
+SELECT 'st_' || year(o_orderdate) || '.csv' AS File, 'C' || o_orderkey AS StationID,
+ CASE WHEN o_custkey % 10 = 0 THEN '2017-01-02' WHEN o_custkey % 10 = 1 THEN '31/2/2017' WHEN o_custkey % 10 = 2 THEN 'NA' ELSE '2/1/2017' END AS Date
+FROM {orders}
+"""
+
+# The columns of one file per customer and year: some lack columns, repeat one or have an unknown one.
+VIEWS["file_columns"] = """
+SELECT DISTINCT 'st_' || o_custkey || '_' || year(o_orderdate) || '.csv' AS File, o_custkey % 6 AS kind FROM {orders}
+"""
+
 # Names with one letter lost in writing, beside the right ones.
 VIEWS["written_names"] = """
 SELECT DISTINCT p_name AS Query FROM {part}

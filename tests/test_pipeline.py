@@ -130,11 +130,24 @@ def test_result_dictionaries_follow_the_tables(finished):
 
 
 def test_csv_copies(spark, finished):
-    copy = csv.read_typed_folder(spark, finished["out"] + "/stations_initial_csv", "stations")
-    # Dates and booleans have their own notation in a copy (2017-02-01, true).
-    columns = [a.name for a in dd.attributes("stations") if a.datatype not in ("Date", "Boolean")]
-    stored = load_table(spark, finished["out"], "stations_initial").select(*columns)
-    assert copy.select(*columns).exceptAll(stored).count() == 0
+    copy = csv.read_typed_folder(spark, finished["out"] + "/stations_initial_csv", "stations").drop("File")
+    stored = load_table(spark, finished["out"], "stations_initial").select(*copy.columns)
+    assert copy.exceptAll(stored).count() == 0 and copy.count() == stored.count()
+
+
+def test_stage_options(spark, inputs, finished, tmp_path):
+    out, new = finished["out"], str(tmp_path)
+    factors, _ = pl.prepare_bioconversion(
+        spark, str(inputs / "bioconversion.csv"), data_folder=out, out_folder=new, levels=("genus",))
+    assert {r["valid_name"] for r in factors.collect()} == {"Abra alba", "Abra", "Pagurus bernhardus", "Pagurus"}
+    database, individuals = pl.finalize_database(
+        spark, out, new, new, as_csv=False, per_station=True, upscale_wet_weight=True, quantitative_only=True,
+        default_count=3, suffixes=("_entry", "_station"))
+    got = {(r["StationID"], r["valid_name"]): r for r in database.collect()}
+    assert set(got) == {("C1#1", "Abra alba"), ("C2#1", "Abra alba")}
+    assert got[("C1#1", "Abra alba")]["Density_nr_per_m2"] == pytest.approx((6 + 3 + 1) / 20)
+    first = individuals.filter("StationID = 'C1#1' AND EntryID = '1'").first()
+    assert first["Individual_WW_g"] == pytest.approx(16 / 6) and first["Comment_station"] == "a, quoted"
 
 
 def test_invalid_input(spark, inputs, tmp_path):
