@@ -1,7 +1,7 @@
 """Toxicity by weak supervision: voters, a generative label model, a linear classifier on its posteriors.
 
 Learning uses a bounded sample of labelled rows (`sample`, chosen by a hash of the id). Word counts by label give the voters: each
-strongly associated word is one, beside a small general lexicon, style patterns and the annotator's own label. The label model
+strongly and significantly associated word is one, beside a small general lexicon, style patterns and the annotator's own label. The label model
 estimates by EM how often each voter fires for either class, and from the voters' conditional correlations how much of a vote is
 new; correlated voters share their weight. An L1 logistic regression on word presence and patterns learns the posteriors, and
 scores every whole text.
@@ -118,8 +118,12 @@ def fit_linear(owner: np.ndarray, sign: np.ndarray, q: np.ndarray, signs_: int,
     return w, float(b)
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, vocabulary: int = 2_000, lexicon: int = 60) -> Model:
-    """Learn from the labelled documents given; `labels` (doc_id, toxic) holds learning rows only."""
+def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, vocabulary: int = 2_000, lexicon: int = 200, lift: float = 2.0) -> Model:
+    """Learn from the labelled documents given; `labels` (doc_id, toxic) holds learning rows only.
+
+    A voter must be significant and strong (log odds of at least `lift`): in a large sample weak signs such as the function words
+    of a language are significant too, and so many that they would turn the label model to that language.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna()
     known = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     there = known.count()
@@ -141,9 +145,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, vocabulary:
     t, c = F.col("t") + 0.5, F.col("n") - F.col("t") + 0.5
     odds = F.log(t / (toxic + 1.0 - t)) - F.log(c / (clean + 1.0 - c))
     z = odds / F.sqrt(1 / t + 1 / c)
-    ranked = counted.where("n >= 3").select("sign", z.alias("z"))
+    ranked = counted.where("n >= 3").select("sign", z.alias("z"), odds.alias("odds"))
     top = ranked.orderBy(F.desc("z"), "sign").limit(vocabulary // 2).union(ranked.orderBy("z", "sign").limit(vocabulary // 2)).distinct().collect()
     scores = {r["sign"]: r["z"] for r in top}
+    strong = {r["sign"] for r in top if r["z"] > 3 and r["odds"] >= lift}
     for name in _SIGNS:
         scores.setdefault(name, 0.0)
     names = sorted(scores)
@@ -159,7 +164,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, vocabulary:
     owner = np.repeat(np.arange(len(kept)), [len(r["signs"]) for r in kept])
     sign = np.array([s for r in kept for s in r["signs"]], np.int64)
     gold = np.array([r["toxic"] for r in kept], np.float64)
-    voters = sorted(set(sorted((n for n in names if scores[n] > 3), key=lambda n: (-scores[n], n))[:lexicon]) | set(_SIGNS))
+    voters = sorted(set(sorted(strong, key=lambda n: (-scores[n], n))[:lexicon]) | set(_SIGNS))
     column = np.full(len(names), -1)
     column[[at[n] for n in voters]] = np.arange(len(voters))
     fires = np.zeros((len(kept), len(voters)), np.float32)
