@@ -209,3 +209,21 @@ def test_fertility(spark, docs, odd, empty):
     assert strange[1].base_failed and strange[1].entropy is None and strange[8].n_repeat_words == 180
     assert fertility.judge(empty, model).count() == 0
     assert len(rows(fertility.measure(odd.where("doc_id = 5"), model))) == 1
+
+
+def test_toxicity_is_not_taken_for_a_language(spark):
+    """Function words that are a little more common among toxic texts are no voters, however many texts show it."""
+    rng = np.random.default_rng(1)
+    rows, toxic = [], []
+    for i in range(6000):
+        english = rng.random() < 0.5
+        bad = rng.random() < (0.13 if english else 0.08)
+        words = [f"{'e' if english else 'f'}{k}x" for k in np.flatnonzero(rng.random(80) < 0.7)]
+        words += [f"bad{k}x" for k in rng.choice(20, 3)] if bad else []
+        rows.append((i, " ".join(words)))
+        toxic.append((i, int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    model = toxicity.train(docs, spark.createDataFrame(toxic, "doc_id long, toxic int"))
+    found = {r.doc_id: r.predicted for r in toxicity.score(docs, model).collect()}
+    assert not [v for v in model.voters if v.startswith(("e", "f"))]
+    assert np.mean([found[i] == y for i, y in toxic]) > 0.98
