@@ -14,11 +14,11 @@ from benthoframe.llm.queries import ORACLE, QUERIES
 from tests.llm.conftest import SF
 
 
-def plain_print(text):
+def plain_print(text, n=3):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     if not words:
         return 0
-    h = [xxhash.xxh64_intdigest(" ".join(words[i : i + 3]).encode(), seed=42) for i in range(max(1, len(words) - 2))]
+    h = [xxhash.xxh64_intdigest(" ".join(words[i : i + n]).encode(), seed=42) for i in range(max(1, len(words) - n + 1))]
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
@@ -178,7 +178,7 @@ def test_pipeline(spark, docs):
         had, has = {r.doc_id: r for r in before.collect()}, {r.doc_id: r for r in kept.collect()}
         assert has.keys() <= had.keys()
         if name == "simhash_near_dedup":
-            classes = plain_components([(d, plain_print(r.text)) for d, r in had.items()], corpus_pipeline.NEAR)
+            classes = plain_components([(d, plain_print(r.text, corpus_pipeline.WORDS)) for d, r in had.items()], corpus_pipeline.NEAR)
             assert has.keys() == set(classes.values())
         elif name == "benchmark_decontamination":
             items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
