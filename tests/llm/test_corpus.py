@@ -190,3 +190,40 @@ def test_pipeline(spark, docs):
             assert 0 < len(had) - len(has) < 0.2 * len(had)
     pieces = QUERIES["pipeline"](spark, SF).collect()
     assert {r.doc_id for r in pieces} == set(has)
+
+
+def plain_similarity(a, b, n=5):
+    """Jaccard similarity of the word shingles as texts; 1 for two texts without words."""
+    sets = []
+    for text in (a, b):
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        sets.append({tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set())
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1]) if sets[0] | sets[1] else 1.0
+
+
+def plain_near(rows):
+    """Rows of (doc_id, text) to {doc_id: smallest reachable over pairs of similarity 0.8 or more}."""
+    root = {d: d for d, _ in rows}
+    for (a, x), (b, y) in itertools.combinations(rows, 2):
+        if plain_similarity(x, y) >= 0.8:
+            a, b = sorted((root[a], root[b]))
+            root = {d: a if r == b else r for d, r in root.items()}
+    return root
+
+
+def test_near_copies_are_those_of_brute_force(spark, docs):
+    rng = random.Random(9)
+    texts = []
+    for size in (300, 120, 60, 9, 5, 3):
+        base = [f"w{rng.randrange(400)}" for _ in range(size)]
+        for _ in range(25):
+            words = list(base)
+            for _ in range(rng.choice((0, 1, 1, 2, 4, 8))):
+                words[rng.randrange(len(words))] = f"x{rng.randrange(5)}"
+            texts.append(" ".join(words[rng.choice((0, 0, 1, 5)) :]))
+    texts += [None, "", " \n", texts[0].upper()]
+    rng.shuffle(texts)
+    made = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for df in (made, docs):
+        kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, df, SF).collect()}
+        assert kept == set(plain_near([(r.doc_id, r.text) for r in df.collect()]).values())
