@@ -227,3 +227,14 @@ def test_near_copies_are_those_of_brute_force(spark, docs):
     for df in (made, docs):
         kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, df, SF).collect()}
         assert kept == set(plain_near([(r.doc_id, r.text) for r in df.collect()]).values())
+
+
+def test_near_copies_of_repeated_ids(spark):
+    x, a, b = ("one two three four five six", "seven eight nine ten eleven twelve", "red green blue black white grey")
+    texts = [(3, x), (7, x), (7, a), (9, a), (8, b), (8, b), (None, x), (None, None), (5, None), (5, ""), (4, b + " pink")]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    kept = [tuple(r) for r in corpus_pipeline.drop_near_copies(spark, df, SF).collect()]
+    empty = [t for t in kept if t[0] == 5]
+    assert len(empty) == 1
+    assert sorted((t for t in kept if t[0] and t[0] != 5)) == [(3, x), (4, b + " pink"), (7, a), (8, b)]
+    assert sum(t[0] is None for t in kept) == 2
