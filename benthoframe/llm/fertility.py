@@ -6,7 +6,7 @@ is kept if its characters per token lie within the band, its byte share not abov
 cannot have a high entropy, so `least_evenness` of the most that they could have is always enough.
 
 Defined results: null text has no word and fails the base rules; a null language is a group of its own; a language with
-fewer than `least` measured documents has no band and rejects nothing; repeated rows count and give equal results; extra
+fewer than `least` measured documents is judged by the band of all documents, and if these are fewer too, nothing is rejected; repeated rows count and give equal results; extra
 columns are not read.
 """
 
@@ -127,6 +127,9 @@ def judge(docs: DataFrame, vocabulary: str, lang: str = "lang", wide: float = 3.
     measured = settle(measure(docs, vocabulary, lang).withColumn("base_failed", failed), "fertility")
     limits = settle(bands(measured, wide, least), "bands")
     joined = measured.join(limits, measured["lang"].eqNullSafe(limits["band_lang"]), "left")
+    whole = bands(measured.withColumn("lang", F.lit(None).cast("string")), wide, least).drop("band_lang").first()
+    if whole:
+        joined = joined.withColumns({c: F.coalesce(c, F.lit(whole[c])) for c in whole.asDict()})
     within = (
         F.col("chars_per_token").between(F.col("least_chars"), F.col("most_chars"))
         & (F.col("byte_share") <= F.col("most_bytes"))

@@ -227,3 +227,12 @@ def test_toxicity_is_not_taken_for_a_language(spark):
     found = {r.doc_id: r.predicted for r in toxicity.score(docs, model).collect()}
     assert not [v for v in model.voters if v.startswith(("e", "f"))]
     assert np.mean([found[i] == y for i, y in toxic]) > 0.98
+
+
+def test_small_languages_are_judged(spark, docs):
+    model = vocabulary("piece_bpe_32k.model")
+    junk = "ⴰⵣⵓⵍ ⵎⵏⵉ " * 30 + " ".join(map(str, range(100)))
+    small = spark.createDataFrame([(1000, junk, "zz"), (1001, junk, None)], "doc_id long, text string, lang string")
+    found = {r.doc_id: r for r in fertility.judge(docs.select("doc_id", "text", "lang").unionByName(small), model).collect()}
+    assert not found[1000].base_failed and not found[1000].kept and not found[1001].kept
+    assert all(r.kept for r in fertility.judge(small, model).collect())
