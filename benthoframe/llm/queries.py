@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,9 @@ from benthoframe.llm import decontaminate, fertility, language_id, licenses, pii
 from benthoframe.llm.packing import pack
 from benthoframe.llm.simhash import near_duplicates
 from benthoframe.llm.tables import fold, table
+from benthoframe.llm.token_counts import count_tokens
 from benthoframe.llm.token_files import token_files
+from benthoframe.session import scratch_root
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 
@@ -69,6 +72,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a cache of its own for each call, so that what an earlier call stored makes no difference
+    cache = f"{scratch_root(spark)}/token-counts-{uuid.uuid4().hex}"
+    return count_tokens(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY), cache)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -86,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_fertility": op9_fertility,
     "op10_simhash": op10_simhash,
+    "op13_token_counts": op13_token_counts,
     "pipeline": pipeline,
 }
 ORACLE: dict[str, str] = {"op5_decontamination": decontaminate.SQL}
