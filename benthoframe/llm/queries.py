@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from benthoframe.llm import decontaminate, fertility, language_id, licenses, merkle, pii, suffix_dedup, toxicity
+from benthoframe.llm import decontaminate, fertility, language_id, licenses, merkle, pii, ranked_search, suffix_dedup, toxicity
 from benthoframe.llm.packing import pack
 from benthoframe.llm.simhash import near_duplicates
 from benthoframe.llm.tables import fold, table
@@ -72,6 +72,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.prove(merkle.manifest(table(spark, sf_dir, "documents"), merkle.without_line_ends()))
 
@@ -99,8 +103,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_fertility": op9_fertility,
     "op10_simhash": op10_simhash,
+    "op11_ranked_search": op11_ranked_search,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_token_counts": op13_token_counts,
     "pipeline": pipeline,
 }
-ORACLE: dict[str, str] = {"op5_decontamination": decontaminate.SQL, "op12_merkle_manifest": merkle.SQL}
+ORACLE: dict[str, str] = {
+    "op5_decontamination": decontaminate.SQL,
+    "op11_ranked_search": ranked_search.SQL,
+    "op12_merkle_manifest": merkle.SQL,
+}
