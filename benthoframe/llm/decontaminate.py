@@ -10,8 +10,10 @@ The hashes of the items are joined to those of the documents as they are explode
 documents, while the hashes and words of the items measure at most `broadcast_bytes`. Beyond that the bare hashes of the documents are shuffled, and only documents with a hit
 are read again.
 
-Defined results: null and empty texts are clean; items of fewer than `LEAST` words are not looked for; rows with the
-same `doc_id` (null included) share one verdict, that of all of them together; items with equal words are looked for once and
+Texts are told apart by their SHA-256, so a verdict is that of the row's own text, whatever ids other rows have.
+
+Defined results: null and empty texts are clean; items of fewer than `LEAST` words are not looked for; rows with equal or
+null ids are judged each by its text; items with equal words are looked for once and
 all reported; extra columns are not read.
 """
 
@@ -66,8 +68,12 @@ def items_of(benchmark: DataFrame) -> DataFrame:
     return found.groupBy("words").agg(F.min("item_id").alias("item")).select("item", "words", F.size("words").alias("n")).where(F.col("n") >= LEAST)
 
 
+def text_digest() -> Column:
+    return F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
+
+
 def overlaps(docs: DataFrame, items: DataFrame, ratio: float = 0.8, broadcast_bytes: int = 64 << 20) -> DataFrame:
-    """(doc_id, item, equal): the most equal words of an aligned window, of every contaminated pair."""
+    """(digest, item, equal): the most equal words of an aligned window, of every contaminated pair of a text and an item."""
     long, short = items.where(F.col("n") >= WINDOW), items.where(F.col("n") < WINDOW)
     masks, seeds = LONG_MASKS, seeded(long, LONG_MASKS)
     if not short.isEmpty():
@@ -77,18 +83,19 @@ def overlaps(docs: DataFrame, items: DataFrame, ratio: float = 0.8, broadcast_by
         seeds.select("hash", "item", least.cast("int").alias("least"), (F.col("n") < WINDOW).alias("short"), F.array(*around(F.col("pos"), F.col("words"))).alias("theirs")),
         "seeds",
     )
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text")).alias("words"))
+    texts = docs.select(text_digest().alias("digest"), words(F.col("text")).alias("words"))
     places = seeded(texts, masks)
     ours = F.array(*around(F.col("pos"), F.col("words"))).alias("ours")
     letters = F.aggregate("theirs", F.lit(0).cast("long"), lambda n, w: n + F.coalesce(F.octet_length(w), F.lit(0)))
     size = seeds.agg(F.coalesce(F.sum(letters + _ROW_BYTES), F.lit(0))).first()[0]
     if size <= broadcast_bytes:
-        hits = places.join(F.broadcast(seeds), "hash").select("doc_id", "item", "least", "short", "theirs", ours)
+        hits = places.join(F.broadcast(seeds), "hash").select("digest", "item", "least", "short", "theirs", ours)
     else:
-        bare = places.select("doc_id", "pos", "hash").join(seeds.select("hash").distinct(), "hash", "left_semi")
-        again = texts.withColumnRenamed("doc_id", "id")
-        placed = again.join(bare, F.col("id").eqNullSafe(F.col("doc_id"))).select("doc_id", "hash", ours)
-        hits = placed.join(seeds, "hash").select("doc_id", "item", "least", "short", "theirs", "ours")
+        # copies have the same hits: each once, and one of their rows is read again
+        bare = places.select("digest", "pos", "hash").join(seeds.select("hash").distinct(), "hash", "left_semi").distinct()
+        again = texts.join(bare.select("digest").distinct(), "digest", "left_semi").dropDuplicates(["digest"])
+        placed = again.join(bare, "digest").select("digest", "hash", ours)
+        hits = placed.join(seeds, "hash").select("digest", "item", "least", "short", "theirs", "ours")
     same = [F.coalesce((F.get("ours", F.lit(k)) == F.get("theirs", F.lit(k))).cast("int"), F.lit(0)) for k in range(2 * _REACH + 1)]
     plus = lambda part: reduce(lambda a, b: a + b, part)
     # a window that holds the hit ends behind the last position of its mask
@@ -96,7 +103,12 @@ def overlaps(docs: DataFrame, items: DataFrame, ratio: float = 0.8, broadcast_by
     windows = [plus(F.get("same", F.lit(k)) for k in range(s, s + WINDOW)) for s in range(first, _REACH + 1)]
     equal = F.when(F.col("short"), plus(F.get("same", F.lit(k)) for k in range(2 * _REACH + 1))).otherwise(F.greatest(*windows))
     checked = hits.withColumn("same", F.array(*same)).withColumn("equal", equal).where(F.col("equal") >= F.col("least"))
-    return checked.groupBy("doc_id", "item").agg(F.max("equal").alias("equal"))
+    return checked.groupBy("digest", "item").agg(F.max("equal").alias("equal"))
+
+
+def contaminated_texts(docs: DataFrame, benchmark: DataFrame, ratio: float = 0.8, broadcast_bytes: int = 64 << 20) -> DataFrame:
+    """The distinct `digest` of the texts that hold any item, with or without an id."""
+    return settle(overlaps(docs, settle(items_of(benchmark), "items"), ratio, broadcast_bytes).select("digest").distinct(), "contaminated")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, ratio: float = 0.8, broadcast_bytes: int = 64 << 20) -> DataFrame:
@@ -105,11 +117,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, ratio: float = 0.8, bro
     pairs = settle(overlaps(docs, items, ratio, broadcast_bytes), "overlaps")
     every = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words(F.col("text")).alias("words")).distinct()
     named = items.join(every, "words").select("item", "item_id")  # one row per benchmark row
-    found = pairs.join(named, "item").groupBy(F.col("doc_id").alias("id")).agg(
+    found = pairs.join(named, "item").groupBy("digest").agg(
         F.array_sort(F.collect_set("item_id")).alias("items"), F.max("equal").cast("long").alias("most_equal")
     )
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    return ids.join(found, F.col("doc_id").eqNullSafe(F.col("id")), "left").select(
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_digest().alias("digest"))
+    return rows.join(found, "digest", "left").select(
         "doc_id", F.col("items").isNotNull().alias("contaminated"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), F.coalesce("items", F.array().cast("array<long>")).alias("items"),
         F.coalesce("most_equal", F.lit(0)).cast("long").alias("most_equal"),

@@ -9,12 +9,12 @@ bucket is split without losing a pair. Links are contracted to components by rou
 on written tables.
 
 Defined results: null, empty and white-space texts have fingerprint zero and are linked like any other; a null `doc_id`
-is kept and counts as no candidate for the smallest; repeated rows stay; extra columns are not read.
+is kept and counts as no candidate for the smallest; repeated rows stay; extra columns are not read, but for those to `carry`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -44,15 +44,18 @@ def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """doc_id and fingerprint (the 64 bits as a long) of every row."""
+def fingerprints(docs: DataFrame, words: int = 3, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, fingerprint (the 64 bits as a long) and the columns to carry of every row."""
+    names = ["doc_id", "fingerprint", *carry]
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t.as_py(), words) for t in batch.column("text")], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64)), *map(batch.column, carry)], names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(compute, "doc_id long, fingerprint long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry)
+    carried = "".join(f", {c} {rows.schema[c].dataType.simpleString()}" for c in carry)
+    return rows.mapInArrow(compute, "doc_id long, fingerprint long" + carried)
 
 
 def _signed(mask: int) -> Column:
@@ -127,15 +130,19 @@ def components(edges: DataFrame) -> DataFrame:
     return hung.unionByName(hung.select(F.col("root").alias("node"), "root").distinct())
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, distance: int = 2) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id, the smallest doc_id reachable over links."""
-    prints = settle(fingerprints(docs, words), "fingerprints")
+def near_duplicates(docs: DataFrame, words: int = 3, distance: int = 2, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id, the smallest doc_id reachable over links.
+
+    With columns to carry, also these and `root`, the smallest fingerprint (signed) of the component, which tells components
+    apart even where no row has an id.
+    """
+    prints = settle(fingerprints(docs, words, carry), "fingerprints")
     nodes = settle(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "nodes")
     member = components(links(nodes, distance))
     rooted = nodes.join(member, nodes["fingerprint"] == member["node"], "left")
     rooted = rooted.select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = settle(rooted.join(least, "root").select("fingerprint", "component_id"), "classes")
+    found = settle(rooted.join(least, "root").select("fingerprint", "component_id", "root"), "classes")
     return prints.join(found, "fingerprint").select(
-        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id", *(["root", *carry] if carry else [])
     )
