@@ -1,12 +1,14 @@
 """From raw documents to packed training sequences in five stages.
 
 Each stage takes what its predecessor kept, written as Parquet and read again, and all but the last return the columns of
-`documents`. Rejected are documents that the classifier calls toxic, all but the first document of each near-duplicate
-component (texts of similarity 0.8 or more on shingles of five words), and documents with a benchmark passage; personal
-data is replaced in the text; the rest is packed.
-
-Defined results: rows with a null `doc_id` cannot be told apart and are kept by the near-duplicate stage; rows with
-equal ids and different texts are judged separately by it, and of rows equal in both it keeps one; an empty table gives no sequence; extra columns pass through to the packing.
+`documents`. Rejected are documents that the classifier calls toxic, all but the first document of each component of
+near-duplicates (fingerprints of three-word shingles linked at two or fewer differing bits, as op10 has them), and documents with
+a benchmark passage; personal data is replaced in the text; the rest is packed.
+
+Defined results: a row is told apart by id and text. The first row of a component has the smallest id, null ids last, then the
+smallest digest of its text; of rows equal in id and text one stays. Every text is judged for benchmark passages by itself, so rows
+that share an id, or have none, share no verdict. An empty table gives no sequence; extra columns pass through to the
+packing, and `n_chars` is brought up to date by redaction where the table has it.
 """
 
 from __future__ import annotations
@@ -14,17 +16,23 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benthoframe.llm import decontaminate as passages
-from benthoframe.llm import near_copies, packing, pii, toxicity
+from benthoframe.llm import packing, pii, simhash, toxicity
 from benthoframe.llm.queries import WORD_VOCABULARY, vocabulary
 from benthoframe.llm.tables import fold, table
 from benthoframe.session import scratch_root, settle
 
-#: Words of a shingle; and the bits of the fingerprint rule that the near-duplicate stage had before, read by its old test only.
-WORDS, NEAR = 5, 5
+#: Words of a shingle and most differing bits of a link, those of op10.
+WORDS, DISTANCE = 3, 2
+
+
+def row_digest() -> Column:
+    """The 32 bytes that tell a row apart: of its id and its text, either of which may be null."""
+    doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))
+    return F.unhex(F.sha2(F.concat(doc_id, F.when(F.col("text").isNull(), "-").otherwise(F.concat(F.lit(":"), F.col("text")))), 256))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,34 +42,30 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    nodes = docs.select(near_copies.text_hash(F.col("text")).alias("node"), "text")
-    member = settle(near_copies.copies(nodes, WORDS), "near")
-    # a row is told apart by id and text
-    found = settle(docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("row_id"), near_copies.text_hash(F.col("text")).alias("row_node")), "rows")
-    least = found.groupBy("row_node").agg(F.min("row_id").alias("least"))
-    least = least.join(member, least["row_node"] == member["node"], "left").select(F.col("row_node").alias("of"), "least", F.coalesce("root", "row_node").alias("root"))
-    least = settle(least, "least")
-    first = least.groupBy("root").agg(F.min(F.struct("least", "of")).alias("first"))
-    first = least.join(first, "root").select("of", F.col("first.least").alias("id"), F.col("first.of").alias("text_of"))
-    losers = found.join(first, F.col("row_node") == F.col("of")).where("row_id <> id OR row_node <> text_of").select("row_id", "row_node").distinct()
-    losers = settle(losers, "copies")
-    kept = docs.join(losers, (docs["doc_id"] == losers["row_id"]) & (near_copies.text_hash(docs["text"]) == losers["row_node"]), "left_anti")
-    twice = found.groupBy("row_id", "row_node").count().where("count > 1")
+    rows = docs.select("doc_id", "text", row_digest().alias("row"))
+    found = settle(simhash.near_duplicates(rows, WORDS, DISTANCE, carry=["row"]).select("doc_id", "root", "row"), "near")
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))).alias("first"))
+    first = settle(first.select("root", F.col("first.row").alias("stays")), "first")
+    losers = settle(found.join(first, "root").where("row <> stays").select(F.col("row").alias("loser")).distinct(), "losers")
+    kept = docs.join(losers, row_digest() == losers["loser"], "left_anti")
+    twice = settle(found.groupBy("row").count().where("count > 1").select(F.col("row").alias("twice")).join(losers, F.col("twice") == losers["loser"], "left_anti"), "twice")
     if twice.isEmpty():
         return kept
-    once = kept.where("doc_id IS NOT NULL").withColumn("_text_hash", near_copies.text_hash(F.col("text"))).dropDuplicates(["doc_id", "_text_hash"])
-    return once.drop("_text_hash").unionByName(kept.where("doc_id IS NULL"))
+    once = kept.join(twice, row_digest() == twice["twice"], "left_anti")
+    repeated = kept.join(twice, row_digest() == twice["twice"], "left_semi")
+    return once.unionByName(repeated.dropDuplicates(["doc_id", "text"]))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = passages.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    bad = settle(found.where("contaminated").select(F.col("doc_id").alias("bad_id")).distinct(), "contaminated")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
+    bad = passages.contaminated_texts(docs, table(spark, sf_dir, "benchmark")).withColumnRenamed("digest", "bad_digest")
+    return docs.join(bad, passages.text_digest() == bad["bad_digest"], "left_anti")
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cleaned = pii.redact_column(pii.train_field(pii.labelled_table(spark)))
     text = docs.withColumn("text", cleaned("text"))
+    if "n_chars" not in docs.columns:
+        return text
     return text.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
