@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import uuid
 
 import duckdb
 import xxhash
@@ -11,6 +12,7 @@ import xxhash
 import corpus_pipeline
 from benthoframe.llm import decontaminate, pii, simhash, suffix_dedup
 from benthoframe.llm.queries import ORACLE, QUERIES
+from benthoframe.session import scratch_root
 from tests.llm.conftest import SF
 
 
@@ -178,7 +180,7 @@ def test_pipeline(spark, docs):
         had, has = {r.doc_id: r for r in before.collect()}, {r.doc_id: r for r in kept.collect()}
         assert has.keys() <= had.keys()
         if name == "simhash_near_dedup":
-            classes = plain_components([(d, plain_print(r.text, corpus_pipeline.WORDS)) for d, r in had.items()], corpus_pipeline.NEAR)
+            classes = plain_components([(d, plain_print(r.text, 3)) for d, r in had.items()], 2)
             assert has.keys() == set(classes.values())
         elif name == "benchmark_decontamination":
             items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
@@ -192,49 +194,53 @@ def test_pipeline(spark, docs):
     assert {r.doc_id for r in pieces} == set(has)
 
 
-def plain_similarity(a, b, n=5):
-    """Jaccard similarity of the word shingles as texts; 1 for two texts without words."""
-    sets = []
-    for text in (a, b):
-        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-        sets.append({tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set())
-    return len(sets[0] & sets[1]) / len(sets[0] | sets[1]) if sets[0] | sets[1] else 1.0
-
-
-def plain_near(rows):
-    """Rows of (doc_id, text) to {doc_id: smallest reachable over pairs of similarity 0.8 or more}."""
-    root = {d: d for d, _ in rows}
-    for (a, x), (b, y) in itertools.combinations(rows, 2):
-        if plain_similarity(x, y) >= 0.8:
-            a, b = sorted((root[a], root[b]))
-            root = {d: a if r == b else r for d, r in root.items()}
-    return root
-
-
-def test_near_copies_are_those_of_brute_force(spark, docs):
-    rng = random.Random(9)
-    texts = []
-    for size in (300, 120, 60, 9, 5, 3):
-        base = [f"w{rng.randrange(400)}" for _ in range(size)]
-        for _ in range(25):
-            words = list(base)
-            for _ in range(rng.choice((0, 1, 1, 2, 4, 8))):
-                words[rng.randrange(len(words))] = f"x{rng.randrange(5)}"
-            texts.append(" ".join(words[rng.choice((0, 0, 1, 5)) :]))
-    texts += [None, "", " \n", texts[0].upper()]
-    rng.shuffle(texts)
-    made = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    for df in (made, docs):
-        kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, df, SF).collect()}
-        assert kept == set(plain_near([(r.doc_id, r.text) for r in df.collect()]).values())
+def rows_of(df):
+    return sorted(((r.doc_id, r.text) for r in df.collect()), key=key)
 
 
 def test_near_copies_of_repeated_ids(spark):
     x, a, b = ("one two three four five six", "seven eight nine ten eleven twelve", "red green blue black white grey")
-    texts = [(3, x), (7, x), (7, a), (9, a), (8, b), (8, b), (None, x), (None, None), (5, None), (5, ""), (4, b + " pink")]
-    df = spark.createDataFrame(texts, "doc_id long, text string")
-    kept = [tuple(r) for r in corpus_pipeline.drop_near_copies(spark, df, SF).collect()]
-    empty = [t for t in kept if t[0] == 5]
-    assert len(empty) == 1
-    assert sorted((t for t in kept if t[0] and t[0] != 5)) == [(3, x), (4, b + " pink"), (7, a), (8, b)]
-    assert sum(t[0] is None for t in kept) == 2
+    texts = [(3, x), (7, x), (7, a), (9, a), (8, b), (8, b), (None, x), (None, None), (5, None), (5, ""), (4, b + " pink"), (None, "n n o o p"), (None, "n n o o p")]
+    df = spark.createDataFrame([(*t, 1, "z") for t in texts], "doc_id long, text string, row int, loser string")
+    kept = corpus_pipeline.drop_near_copies(spark, df, SF)
+    assert kept.columns == df.columns
+    classes = plain_components([(i, plain_print(t)) for i, (_, t) in enumerate(texts)], 2)
+    want = []
+    for root in set(classes.values()):
+        rows = {texts[i] for i, r in classes.items() if r == root}
+        least = min((d is None, d or 0) for d, _ in rows)
+        want.append([t for t in rows if (t[0] is None, t[0] or 0) == least])
+    got = rows_of(kept)
+    assert len(got) == len(want) and all(any(g in rows for g in got) for rows in want)
+    assert (3, x) in got and (7, a) in got and got.count((8, b)) == 1 and got.count((None, "n n o o p")) == 1
+
+
+def test_decontamination_by_row(spark):
+    passage = " ".join(f"word{i}" for i in range(20))
+    texts = [(7, "some " + passage), (7, "clean seven"), (None, passage + " more"), (None, "clean one"), (None, "clean two"), (8, "clean eight"), (9, None), (7, "some " + passage)]
+    df = spark.createDataFrame([(*t, 0) for t in texts], "doc_id long, text string, digest int")
+    clean = [t for t in texts if passage not in (t[1] or "")]
+    for items in ([(1, passage)], [(None, passage)]):
+        benchmark = spark.createDataFrame(items, "item_id long, text string")
+        for limit in (10**8, 0):
+            bad = decontaminate.contaminated_texts(df, benchmark, broadcast_bytes=limit)
+            assert rows_of(df.join(bad, decontaminate.text_digest() == bad["digest"], "left_anti")) == sorted(clean, key=key)
+    for limit in (10**8, 0):
+        found = decontaminate.decontaminate(df, spark.createDataFrame([(1, passage)], "item_id long, text string"), broadcast_bytes=limit)
+        assert sorted((r.doc_id is None, r.doc_id or 0, r.contaminated) for r in found.collect()) == sorted((d is None, d or 0, passage in (t or "")) for d, t in texts)
+
+
+def test_pipeline_of_odd_tables(spark, odd, empty):
+    """Nulls, repeated and empty rows, a very long text and extra columns go through every stage."""
+    for given in (odd, empty, odd.drop("n_chars")):
+        kept = given
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            kept = stage(spark, kept, SF)
+            assert kept.schema.names == given.schema.names, name
+            path = f"{scratch_root(spark)}/odd-{uuid.uuid4().hex}"
+            kept.write.parquet(path)
+            kept = spark.read.parquet(path)
+        ids = {r.doc_id for r in kept.collect()}
+        assert {r.doc_id for r in corpus_pipeline.pack(spark, kept, SF).collect()} == ids
+        if given is not empty:
+            assert len(ids) == kept.count() and {1, 4, 6, 7, 8} <= ids
