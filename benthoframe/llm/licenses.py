@@ -11,8 +11,8 @@ read; templates that share a span are all chained.
 
 from __future__ import annotations
 
+import hashlib
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -46,6 +46,8 @@ TEMPLATES = [
     ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
 ]
 
+#: Words of all templates together.
+MAX_WORDS = 500_000
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
@@ -173,39 +175,43 @@ class Scanner:
 def best_chain(found: list[tuple[int, int, int]], template: int, slack: int = 2) -> tuple[int, int, int]:
     """Most template words that matches (text end, template end, words) cover in ascending order of both, and their text span.
 
-    A chain breaks where the text has over `slack` times the template's words between the first and last match, so far-off
-    matches don't add up. Matches go by text position; the best chain up to a template position is kept in a list of
-    ascending template ends and covered words, so the cost is that of sorting.
+    A chain ends where the text has over `slack` times the template's words since its first match, so far-off matches don't
+    add up. Of the chains that end in a match those are kept that begin later or cover more than every other: only they can
+    be the best of a longer chain. A match looks at the kept chains that began within the window before it, so the cost is
+    matches times chains of one window, whose number depends on the template and not on the text.
     """
     best, window = (0, 0, 0), slack * template
-    ends: list[int] = []
-    kept: list[tuple[int, int, int]] = []  # covered words, first word, text end
+    kept: list[tuple[int, int, int, int]] = []  # template end, text end, covered words, first word
     for text_end, template_end, size in sorted(found):
-        at = bisect_left(ends, template_end)
-        value = (size, text_end - size, text_end)
-        for i in range(at - 1, -1, -1):  # at most as many entries as the template has words
-            covered, first, end = kept[i]
-            if text_end - first > window:
-                continue
-            fresh = min(size, template_end - ends[i], text_end - end)
-            if fresh > 0 and covered + fresh > value[0]:
-                value = (covered + fresh, first, text_end)
-        if at < len(ends) and ends[at] == template_end:
-            if value[0] >= kept[at][0] or text_end - kept[at][1] > window:
-                kept[at] = value
-        else:
-            ends.insert(at, template_end)
-            kept.insert(at, value)
-        if value[0] > best[0]:
-            best = value
+        kept = [c for c in kept if text_end - c[3] <= window]
+        by_first = {text_end - size: size}
+        for before, end, covered, first in kept:
+            fresh = min(size, template_end - before, text_end - end)
+            if fresh > 0 and covered + fresh > by_first.get(first, 0):
+                by_first[first] = covered + fresh
+        most = 0
+        for first in sorted(by_first, reverse=True):
+            if by_first[first] > most:
+                most = by_first[first]
+                kept.append((template_end, text_end, most, first))
+                if most > best[0]:
+                    best = (most, first, text_end)
     return best
 
 
-_scanners: list[Scanner] = []
+_scanners: dict[bytes, Scanner] = {}
+
 
+def scan_licenses(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: list[tuple[str, str]] = TEMPLATES, least: int = 3, covered: float = 0.8) -> DataFrame:
+    """doc_id, counts and places of the phrases, labels, score and covered template spans of every row.
 
-def scan_licenses(docs: DataFrame) -> DataFrame:
-    """doc_id, counts and places of the phrases, labels, score and covered template spans of every row."""
+    `templates` are (label, text): notices as they stand in files, or whole licences. They go to every task in an automaton, so
+    more than `MAX_WORDS` words are refused.
+    """
+    if sum(len(words_of(text)) for _, text in templates) > MAX_WORDS:
+        raise ValueError(f"The templates have over {MAX_WORDS} words.")
+    settings = (phrases, templates, least, covered)
+    name = hashlib.sha256(repr(settings).encode()).digest()
     named = [
         ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()), ("last_word", pa.int64()),
         ("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64()),
@@ -213,10 +219,10 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     ]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not _scanners:
-            _scanners.append(Scanner())
+        if name not in _scanners:
+            _scanners[name] = Scanner(*settings)
         for batch in batches:
-            rows = [_scanners[0].scan(t.as_py() or "") for t in batch.column("text")]
+            rows = [_scanners[name].scan(t.as_py() or "") for t in batch.column("text")]
             columns = list(zip(*rows)) or [()] * (len(named) - 1)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, t) for c, (_, t) in zip(columns, named[1:]))], schema=pa.schema(named))
 

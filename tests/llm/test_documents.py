@@ -187,6 +187,46 @@ def test_matching_statistics():
     assert "isc" in licenses.Scanner().scan(f"Some words. {changed} More words.")[5].split(",")
 
 
+def plain_chain(found, template):
+    """The best chain by trying all; ties by any."""
+    best = 0
+
+    def go(at, before, end, covered, first):
+        nonlocal best
+        best = max(best, covered)
+        for i in range(at, len(found)):
+            text_end, template_end, size = found[i]
+            fresh = min(size, template_end - before, text_end - end)
+            if fresh > 0 and text_end - first <= 2 * template:
+                go(i + 1, template_end, text_end, covered + fresh, first)
+
+    for i, (text_end, template_end, size) in enumerate(found):
+        go(i + 1, template_end, text_end, size, text_end - size)
+    return best
+
+
+def test_best_chain_is_the_best():
+    rng = random.Random(12)
+    for _ in range(3000):
+        template = rng.randint(3, 14)
+        found = sorted({(rng.randint(3, 40), rng.randint(1, template), 0) for _ in range(rng.randint(1, 9))})
+        found = [(a, b, rng.randint(1, min(a, b))) for a, b, _ in found]
+        covered, first, end = licenses.best_chain(found, template)
+        assert covered == plain_chain(found, template) and 0 <= first < end and end - first <= 2 * template
+
+
+def test_licenses_of_own_templates(spark, odd, empty):
+    whole = " ".join(f"clause{i} of the own licence" for i in range(40))
+    texts = [whole, "before " + " ".join(w if i % 23 else "changed" for i, w in enumerate(whole.split())) + " behind", whole[: len(whole) // 2], None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in licenses.scan_licenses(df, {}, [("own", whole)]).collect()}
+    assert [rows[i].labels for i in range(4)] == ["own", "own", "", ""]
+    assert rows[0].score == 1 and rows[0].spans[0].asDict() == {"label": "own", "covered": 1.0, "first": 0, "end": 200}
+    assert 0.4 < rows[2].score < 0.6 and rows[3].score == 0
+    found = licenses.scan_licenses(odd).collect()
+    assert len(found) == 10 and {r.labels for r in found} == {""} and {r.score for r in found if r.doc_id in (1, 2, 3)} == {0.0}
+
+
 def test_fertility(spark, docs, odd, empty):
     texts = {r.doc_id: r.text for r in docs.collect()}
     found = QUERIES["op9_fertility"](spark, SF).collect()
