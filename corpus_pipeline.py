@@ -47,7 +47,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))).alias("first"))
     first = settle(first.select("root", F.col("first.row").alias("stays")), "first")
     losers = settle(found.join(first, "root").where("row <> stays").select(F.col("row").alias("loser")).distinct(), "losers")
-    kept = docs.join(losers, row_digest() == losers["loser"], "left_anti")
+    # the same join at every size: losers grow with the documents
+    kept = docs.join(losers.hint("merge"), row_digest() == losers["loser"], "left_anti")
     twice = settle(found.groupBy("row").count().where("count > 1").select(F.col("row").alias("twice")).join(losers, F.col("twice") == losers["loser"], "left_anti"), "twice")
     if twice.isEmpty():
         return kept
