@@ -6,7 +6,7 @@ source, and a condition that is itself unknown gives an unknown result.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,14 +19,6 @@ def if_known(condition: Column, then: Column, otherwise: Column | None = None) -
     return F.when(condition, then).when(~condition, rest)
 
 
-def all_known(*columns: Column) -> Column:
-    """True when no column is NULL."""
-    known = F.lit(True)
-    for column in columns:
-        known = known & column.isNotNull()
-    return known
-
-
 def any_missing(columns: Sequence[Column]) -> Column:
     """True when at least one column is NULL."""
     missing = F.lit(False)
@@ -35,11 +27,6 @@ def any_missing(columns: Sequence[Column]) -> Column:
     return missing
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Bind `value` once and use it many times in `body`."""
-    return F.transform(F.array(value), body)[0]
-
-
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Replace NaN by NULL in every floating point column."""
     floating = [
@@ -56,15 +43,24 @@ def null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Colu
     return condition
 
 
-def left_join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join on `keys` with NULL matching NULL, keeping the left key columns."""
+def left_join_lookup(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], required: str, rows: Sequence[str] = ("StationID", "EntryID")
+) -> DataFrame:
+    """Left join on `keys` with NULL matching NULL, keeping the left key columns.
+
+    `required` is the text key that no row of the lookup lacks. Rows of the left side that lack it have no partner; they get
+    distinct keys by the columns `rows` that tell them apart, so that they do not meet in one task when the lookup is too large to broadcast.
+    """
     renamed = right.select(
         *[F.col(k).alias(f"__{k}") for k in keys],
         *[F.col(c) for c in right.columns if c not in keys],
     )
-    condition = F.lit(True)
+    told = [left[c] for c in rows if c in left.columns]
+    alone = F.concat(F.lit("\u0001"), F.pmod(F.xxhash64(*told), F.lit(4096)).cast("string")) if told else F.lit("\u0001")
+    condition = F.coalesce(left[required], alone) == renamed[f"__{required}"]
     for key in keys:
-        condition = condition & left[key].eqNullSafe(renamed[f"__{key}"])
+        if key != required:
+            condition = condition & left[key].eqNullSafe(renamed[f"__{key}"])
     return left.join(renamed, condition, "left").drop(*[f"__{k}" for k in keys])
 
 

@@ -2,50 +2,87 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
 class Axis(NamedTuple):
-    """A grid axis: first line, distance of the lines, index of the last line."""
+    """A grid axis: first line, distance of the lines, index of the last line; `lines` has all lines where they are not regularly spaced."""
 
     first: float
     step: float
     last: int
+    lines: tuple[float, ...] | None = None
+
+
+#: Steps of the search in the lines of an irregular axis, of which the driver holds at most 2^17 (a global grid has 86,400).
+SEARCH_STEPS = 17
 
 
 def grid_axes(bathymetry: DataFrame) -> tuple[Axis, Axis]:
-    """The two axes of a grid, from one aggregate with one row."""
-    row = bathymetry.agg(*[
-        f(axis).alias(f"{name}_{axis}")
-        for axis in ("x", "y")
-        for name, f in (("low", F.min), ("high", F.max), ("lines", F.count_distinct))
-    ]).first()
+    """The two axes of a grid, from one aggregate with one row: the sorted lines of each axis.
+
+    Of a regular axis three numbers come to the driver, of an irregular one its lines, at most 2^`SEARCH_STEPS`.
+    """
+    lines = bathymetry.agg(*[F.array_sort(F.collect_set(F.nullif(axis, F.lit(float("nan"))))).alias(axis) for axis in ("x", "y")])
+
+    def about(axis: str) -> Column:
+        at, n = F.col(axis), F.size(axis)
+        first, high = F.get(at, F.lit(0)), F.get(at, n - 1)
+        step = F.when(n > 1, (high - first) / (n - 1)).otherwise(1.0)
+        regular = F.forall(F.transform(at, lambda v, i: F.abs((v - first) / step - i) < 1e-4), lambda near: near)
+        kept = F.when(~regular & (n <= 2**SEARCH_STEPS), at)
+        return F.struct(first.alias("first"), step.alias("step"), (n - 1).alias("last"), regular.alias("regular"), kept.alias("lines")).alias(axis)
+
     axes = []
-    for axis in ("x", "y"):
-        low, high, lines = (row[f"{name}_{axis}"] for name in ("low", "high", "lines"))
-        if not lines:
+    for found in lines.select(about("x"), about("y")).first():
+        if found["last"] < 0:
             raise ValueError("The bathymetry grid is empty.")
-        axes.append(Axis(low, (high - low) / (lines - 1) if lines > 1 else 1.0, lines - 1))
+        if not found["regular"] and found["lines"] is None:
+            raise ValueError(f"An axis of the bathymetry grid has more than {2**SEARCH_STEPS} irregular lines.")
+        axes.append(Axis(found["first"], found["step"], found["last"], found["lines"] and tuple(found["lines"])))
     return axes[0], axes[1]
 
 
+def _lines(axis: Axis) -> Column:
+    """The lines as one array, which the optimizer folds to a constant."""
+    return F.from_json(F.lit(json.dumps(axis.lines)), "array<double>")
+
+
+def _search(value: Column, axis: Axis) -> Column:
+    """Index of the first of the lines that is not below the value, or of the last line: a binary search."""
+
+    lines = _lines(axis)
+
+    def halve(span: Column, _: Column) -> Column:
+        low, high = span["low"], span["high"]
+        middle = F.floor((low + high) / 2).cast("int")
+        upper = F.struct((middle + 1).alias("low"), high.alias("high"))
+        lower = F.struct(low.alias("low"), middle.alias("high"))
+        return F.when(low >= high, span).otherwise(F.when(F.get(lines, middle) < value, upper).otherwise(lower))
+
+    whole = F.struct(F.lit(0).alias("low"), F.lit(axis.last).alias("high"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(SEARCH_STEPS)), whole, halve)["low"]
+
+
 def _nearest_line(value: Column, axis: Axis) -> Column:
     """Index of the nearest grid line, the lower one of a tie, clamped at the edge."""
+    if axis.lines is not None:
+        found, lines = _search(value, axis), _lines(axis)
+        lower = value - F.get(lines, found - 1) <= F.get(lines, found) - value
+        return F.when(value.isNotNull(), F.when((found > 0) & lower, found - 1).otherwise(found)).cast("bigint")
     line = F.ceil((value - axis.first) / axis.step - 0.5)
     return F.greatest(F.lit(0), F.least(line, F.lit(axis.last)))
 
 
 def _own_line(value: Column, axis: Axis) -> Column:
-    """Index of a grid line; raises when the grid is not regularly spaced."""
-    position = (value - axis.first) / axis.step
-    line = F.rint(position)
-    return F.when(F.abs(position - line) < 0.25, line.cast("bigint")).when(
-        value.isNotNull(), F.raise_error(F.lit("The bathymetry grid is not regularly spaced."))
-    )
+    """Index of a grid line."""
+    if axis.lines is not None:
+        return F.when(value.isNotNull(), _search(value, axis)).cast("bigint")
+    return F.rint((value - axis.first) / axis.step).cast("bigint")
 
 
 def index_grid(bathymetry: DataFrame, axes: tuple[Axis, Axis]) -> DataFrame:

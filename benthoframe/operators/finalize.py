@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from benthoframe.functions.columns import if_known, left_join_null_safe
+from benthoframe.functions.columns import if_known, left_join_lookup
 from benthoframe.operators.combine import combine_data_sources
 
 UPSCALED = ("Count", "AFDW_g", "AFDW_g_from_WW", "AFDW_g_calc")
@@ -81,14 +81,16 @@ def drop_conflicting_weights(species: DataFrame, conflicts: DataFrame) -> DataFr
     The default of `conflicting_taxa` ignores the station: one conflict removes the
     bulk wet weights of that taxon everywhere.
     """
-    keys = [c for c in ("valid_name", "StationID", "Weight_type") if c in conflicts.columns]
-    marked = left_join_null_safe(
-        species, conflicts.withColumn("_skip", F.lit(True)), keys
+    keys = [c for c in ("valid_name", "StationID") if c in conflicts.columns]
+    # only bulk weights can be meant: all other entries have no key
+    marked = left_join_lookup(
+        species.withColumn("_bulk", F.when(F.col("Weight_type") == "Sample", F.col("Weight_type"))),
+        conflicts.select(*keys, F.col("Weight_type").alias("_bulk"), F.lit(True).alias("_skip")), [*keys, "_bulk"], "_bulk",
     )
     return marked.withColumns({
         "AFDW_g_from_WW": F.when(F.col("_skip").isNull(), F.col("AFDW_g_from_WW")),
         "Weight_type": F.when(F.col("_skip").isNull(), F.col("Weight_type")),
-    }).drop("_skip")
+    }).drop("_skip", "_bulk")
 
 
 def drop_partial_weights(species: DataFrame) -> DataFrame:

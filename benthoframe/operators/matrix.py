@@ -68,7 +68,7 @@ def get_community_matrix(
     A taxon that was not found is 0, an unknown value NULL, and entries without a
     taxon at this level form the column ``NA``. The columns are the sorted distinct
     taxa, at most ``spark.sql.pivotMaxValues`` of them; give `taxa` to fix them, or use
-    `community_values` for the long form of any size. Without `taxa` the values, one row per
+    `community_values` for the long form or `save_community_matrix` for blocks of columns, of any size. Without `taxa` the values, one row per
     station and taxon, are stored first, so that the entries are read once. A taxon that is
     really called ``NA`` adds to the column of that name.
     """
@@ -84,7 +84,11 @@ def get_community_matrix(
                 f"More than {limit} taxa: raise spark.sql.pivotMaxValues or use community_values."
             )
         taxa = sorted(row["taxon"] for row in found)
-    names = ["NA" if t is None else t for t in taxa]
+    return get_community_matrix_of(values, ["NA" if t is None else t for t in taxa], abundance_measure)
+
+
+def get_community_matrix_of(values: DataFrame, names: Sequence[str], abundance_measure: str) -> DataFrame:
+    """The columns of the taxa `names` for all stations of a matrix in long form, in which no taxon is NULL."""
     # NaN marks an unknown value, so that NULL after the pivot means "not found".
     marked = values.withColumn(
         "value", F.coalesce(F.col("value").cast("double"), F.lit(float("nan")))
@@ -100,3 +104,41 @@ def get_community_matrix(
             for i, name in enumerate(names)
         ],
     )
+
+
+def save_community_matrix(
+    database: DataFrame,
+    taxonomic_level: str,
+    abundance_measure: str,
+    folder: str,
+    block: int = 5000,
+    include_incomplete: bool = True,
+    reference_mode: bool = False,
+) -> DataFrame:
+    """Write a matrix of any number of taxa in blocks of columns; (block, first_taxon, last_taxon, taxa, path) of each.
+
+    The taxa are sorted and cut into blocks of `block` columns. Every block is a table of all stations, as
+    `get_community_matrix` has them, so blocks can be joined by StationID. The driver holds the names of one block
+    at a time.
+    """
+    values = settle(
+        community_values(database, taxonomic_level, abundance_measure, include_incomplete, reference_mode)
+        .withColumn("taxon", F.coalesce("taxon", F.lit("NA"))),
+        "community",
+    )
+    spark, written = database.sparkSession, []
+
+    def write(names: list[str]) -> None:
+        path = f"{folder}/block={len(written):05d}"
+        get_community_matrix_of(values, names, abundance_measure).write.mode("overwrite").parquet(path)
+        written.append((len(written), names[0], names[-1], len(names), path))
+
+    names: list[str] = []
+    for row in values.select("taxon").distinct().orderBy("taxon").toLocalIterator():
+        names.append(row["taxon"])
+        if len(names) == block:
+            write(names)
+            names = []
+    if names:
+        write(names)
+    return spark.createDataFrame(written, "block int, first_taxon string, last_taxon string, taxa int, path string")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from benthoframe.functions.columns import if_known, left_join_null_safe
+from benthoframe.functions.columns import if_known, left_join_lookup
 from benthoframe.operators.taxonomy import RECORD
 
 TAXON_COLUMNS = [c for c in RECORD if c not in ("status", "isExtinct")]
@@ -21,13 +21,13 @@ def add_taxonomy(species: DataFrame, worms: DataFrame) -> DataFrame:
 
 def add_conversion_factors(species: DataFrame, factors: DataFrame) -> DataFrame:
     """Add the wet weight to dry weight factor."""
-    return left_join_null_safe(species, factors, ("valid_name", "is_Shell_removed"))
+    return left_join_lookup(species, factors, ("valid_name", "is_Shell_removed"), "valid_name")
 
 
 def add_regressions(species: DataFrame, regressions: DataFrame) -> DataFrame:
     """Add the size to weight regression."""
-    return left_join_null_safe(
-        species, regressions, ("valid_name", "Size_dimension", "is_Shell_removed")
+    return left_join_lookup(
+        species, regressions, ("valid_name", "Size_dimension", "is_Shell_removed"), "valid_name"
     )
 
 
@@ -86,37 +86,65 @@ def complete_species(
     )
 
 
+# Reports: what is reported, its keys, the name of its count.
+REPORTS = {
+    "unmatched_names": ("hasNoMatch = 1", ("File", "Species_reported"), "Number_of_entries"),
+    "missing_factors": ("(WW_g > 0 OR WW_g_calc > 0) AND WW_to_AFDW IS NULL", ("valid_name", "is_Shell_removed"), "Number_of_entries"),
+    "missing_regressions": (
+        "Size_value > 0 AND Size_dimension IS NOT NULL AND A_factor IS NULL",
+        ("valid_name", "Size_dimension", "is_Shell_removed"), "Number_of_species",
+    ),
+}
+REPORT_KEYS = ("File", "Species_reported", "valid_name", "Size_dimension", "is_Shell_removed")
+
+
+def count_reports(species: DataFrame) -> DataFrame:
+    """The three reports about entries in one grouped pass (R1-R3): report, `REPORT_KEYS`, n."""
+
+    def hit(report: str):
+        condition, keys, _ = REPORTS[report]
+        return F.when(F.expr(condition), F.struct(
+            F.lit(report).alias("report"),
+            *[(F.col(k) if k in keys else F.lit(None).cast(species.schema[k].dataType)).alias(k) for k in REPORT_KEYS],
+        ))
+
+    hits = species.select(F.explode(F.array_compact(F.array(*map(hit, REPORTS)))).alias("hit"))
+    return hits.groupBy(*[F.col(f"hit.{c}").alias(c) for c in ("report", *REPORT_KEYS)]).agg(F.count(F.lit(1)).alias("n"))
+
+
+def counted_report(counted: DataFrame, report: str) -> DataFrame:
+    """One of the reports of `count_reports`, as its own function gives it."""
+    _, keys, count = REPORTS[report]
+    found = counted.filter(F.col("report") == report).select(*keys, F.col("n").alias(count))
+    return found if report == "unmatched_names" else found.orderBy(*keys)
+
+
+def _report(species: DataFrame, report: str) -> DataFrame:
+    condition, keys, count = REPORTS[report]
+    found = species.filter(condition).groupBy(*keys).agg(F.count(F.lit(1)).alias(count))
+    return found if report == "unmatched_names" else found.orderBy(*keys)
+
+
 def report_unmatched_names(species: DataFrame) -> DataFrame:
     """Entries per file and reported name that the taxonomy does not know."""
-    return (
-        species.filter("hasNoMatch = 1")
-        .groupBy("File", "Species_reported")
-        .agg(F.count(F.lit(1)).alias("Number_of_entries"))
-    )
+    return _report(species, "unmatched_names")
 
 
 def report_missing_factors(species: DataFrame) -> DataFrame:
     """Taxa with a wet weight but no factor (R2)."""
-    return (
-        species.filter("(WW_g > 0 OR WW_g_calc > 0) AND WW_to_AFDW IS NULL")
-        .groupBy("valid_name", "is_Shell_removed")
-        .agg(F.count(F.lit(1)).alias("Number_of_entries"))
-        .orderBy("valid_name", "is_Shell_removed")
-    )
+    return _report(species, "missing_factors")
 
 
 def report_missing_regressions(species: DataFrame) -> DataFrame:
     """Measured taxa without a regression."""
-    return (
-        species.filter("Size_value > 0 AND Size_dimension IS NOT NULL AND A_factor IS NULL")
-        .groupBy("valid_name", "Size_dimension", "is_Shell_removed")
-        .agg(F.count(F.lit(1)).alias("Number_of_species"))
-        .orderBy("valid_name", "Size_dimension", "is_Shell_removed")
-    )
+    return _report(species, "missing_regressions")
+
+
+def depth_difference() -> Column:
+    """Mean depth on board minus mean depth of the bathymetry, each over its own known values."""
+    return (F.avg("Water_depth_m_cruise") - F.avg("Water_depth_m_Bathy")).alias("mean_diff_depth")
 
 
 def report_depth_difference(stations: DataFrame) -> DataFrame:
     """Mean depth on board minus mean depth of the bathymetry."""
-    return stations.agg(
-        (F.avg("Water_depth_m_cruise") - F.avg("Water_depth_m_Bathy")).alias("mean_diff_depth")
-    )
+    return stations.agg(depth_difference())

@@ -57,27 +57,77 @@ def deletion_variants(name: Column, distance: int) -> Column:
     return variants
 
 
-def match_fuzzy(names: DataFrame, taxonomy: DataFrame, max_distance: int = 1) -> DataFrame:
+# Spellings of scientific names that sound alike, as published for TAXAMATCH (Rees 2014), in order.
+# At the start of a word:
+SOUNDS_FIRST = (
+    ("ae", "e"), ("cn", "n"), ("ct", "t"), ("cz", "c"), ("dj", "j"), ("ea", "e"), ("eu", "u"), ("gn", "n"), ("kn", "n"),
+    ("mn", "n"), ("oe", "e"), ("qu", "q"), ("ps", "s"), ("pt", "t"), ("ts", "s"), ("wr", "r"), ("x", "z"),
+)
+# Anywhere:
+SOUNDS = (("ae", "i"), ("ia", "a"), ("oe", "i"), ("oi", "a"), ("sc", "s"), ("ph", "f"), ("h", ""))
+# Letters, one for one:
+SOUND_LETTERS = ("eouykz", "iaiicc")
+# At the end of a word, where the letters above are replaced already (-is, -us, -ys, -es, -im, -as, -um, -os, -a):
+SOUND_ENDING = ("[ai][sm]?$", "a")
+
+
+def phonetic_key(name: Column) -> Column:
+    """What a scientific name sounds like: equal for spellings that differ in like sounds, doubled letters or endings."""
+    words = F.split(F.regexp_replace(F.lower(F.trim(name)), "[^a-z ]", ""), " +")
+
+    def sound(word: Column) -> Column:
+        first = word
+        for heard, written in reversed(SOUNDS_FIRST):
+            cut = F.concat(F.lit(written), F.substring(word, F.lit(len(heard) + 1), F.length(word)))
+            first = F.when(word.startswith(heard), cut).otherwise(first)
+        for heard, written in SOUNDS:
+            first = F.replace(first, F.lit(heard), F.lit(written))
+        plain = F.regexp_replace(F.translate(first, *SOUND_LETTERS), r"(.)\1+", "$1")
+        return F.regexp_replace(plain, *SOUND_ENDING)
+
+    return F.array_join(F.transform(words, sound), " ")
+
+
+def sounds_alike(a: Column, b: Column) -> Column:
+    """Whether two names with equal phonetic keys are near enough: a quarter of the letters, two at least, may differ."""
+    return F.levenshtein(a, b) <= F.greatest(F.lit(2), F.floor(F.least(F.length(a), F.length(b)) / 4))
+
+
+def match_fuzzy(
+    names: DataFrame, taxonomy: DataFrame, max_distance: int = 1, phonetic: bool = False
+) -> DataFrame:
     """Candidate records at the smallest edit distance, at most `max_distance`.
 
+    With `phonetic` names that sound alike (`phonetic_key`, `sounds_alike`) are candidates too, at any distance that
+    allows. The key is one more variant in the join below.
+
     Two names within distance k share a variant with at most k deletions (the
     symmetric-deletion method, FastSS), so the candidates come from an equi-join
     on variants; `levenshtein` then verifies each pair. Both sides hold distinct
     names, so a variant is shared by few of them: at most (length + 1) x alphabet
     distinct names have a given variant at distance 1.
     """
-    asked = names.select(
-        "Query", F.explode(deletion_variants(F.col("Query"), max_distance)).alias("_variant")
-    )
+    def variants(name: Column) -> Column:
+        written = deletion_variants(name, max_distance)
+        # no name has this mark
+        return F.array_append(written, F.concat(F.lit("\u0001"), phonetic_key(name))) if phonetic else written
+
+    asked = names.select("Query", F.explode(variants(F.col("Query"))).alias("_variant"))
     known = taxonomy.select("name").distinct().select(
-        "name", F.explode(deletion_variants(F.col("name"), max_distance)).alias("_variant")
+        "name", F.explode(variants(F.col("name"))).alias("_variant")
     )
+    query, name = F.col("Query"), F.col("name")
+    if phonetic:
+        distance = F.levenshtein(query, name)
+        near = (distance <= max_distance) | (F.col("_variant").startswith("\u0001") & sounds_alike(query, name))
+    else:
+        distance = F.levenshtein(query, name, max_distance)
+        near = distance >= 0
     # Exploded sides are larger than their estimate: never broadcast them.
-    distance = F.levenshtein(F.col("Query"), F.col("name"), max_distance)
     pairs = (
         asked.join(known.hint("merge"), "_variant")
+        .filter(near)
         .select("Query", F.struct(distance.alias("distance"), "name").alias("_pair"))
-        .filter("_pair.distance >= 0")
     )
     # A name has few candidates, see above; each once, and of these the nearest.
     near = pairs.groupBy("Query").agg(F.collect_set("_pair").alias("_near"))
@@ -131,12 +181,14 @@ def choose_record(candidates: DataFrame) -> DataFrame:
     )
 
 
-def get_valid_names(names: DataFrame, taxonomy: DataFrame, max_distance: int = 1) -> DataFrame:
+def get_valid_names(
+    names: DataFrame, taxonomy: DataFrame, max_distance: int = 1, phonetic: bool = False
+) -> DataFrame:
     """Exactly one row per distinct name: the accepted record and its flags.
 
     isFuzzy is 1 for every name without an exact match, hasNoMatch is 1 when no
     record could be chosen (T8). `names` has a column `Query`; with `max_distance`
-    0 there is no fuzzy matching.
+    0 and without `phonetic` there is no fuzzy matching.
     """
     # A record without a number is a record too, after the numbered ones.
     numbered = F.coalesce("cand_id", F.lit(2**31 - 1)).cast(taxonomy.schema["cand_id"].dataType)
@@ -145,14 +197,18 @@ def get_valid_names(names: DataFrame, taxonomy: DataFrame, max_distance: int = 1
     known = taxonomy.withColumnRenamed("name", "Query").withColumn("_exact", F.lit(True))
     asked = queries.join(known, "Query", "left")
     candidates = asked.withColumn("isFuzzy", F.col("_exact").isNull().cast("int")).drop("_exact")
-    if max_distance > 0:
+    if max_distance > 0 or phonetic:
         unmatched = candidates.filter("isFuzzy = 1").select("Query")
-        candidates = candidates.unionByName(match_fuzzy(unmatched, taxonomy, max_distance))
+        candidates = candidates.unionByName(match_fuzzy(unmatched, taxonomy, max_distance, phonetic))
     return choose_record(candidates)
 
 
 def resolve_taxonomy(
-    species: DataFrame, conversion_data: DataFrame, taxonomy: DataFrame, max_distance: int = 1
+    species: DataFrame,
+    conversion_data: DataFrame,
+    taxonomy: DataFrame,
+    max_distance: int = 1,
+    phonetic: bool = False,
 ) -> DataFrame:
     """Resolve every name of the entries and the conversion table."""
-    return get_valid_names(distinct_names(species, conversion_data), taxonomy, max_distance)
+    return get_valid_names(distinct_names(species, conversion_data), taxonomy, max_distance, phonetic)

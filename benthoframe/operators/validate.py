@@ -8,7 +8,7 @@ that a key with many rows is counted, never gathered.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from typing import NamedTuple
 
@@ -23,7 +23,7 @@ from benthoframe.operators.bioconversion import (
     split_regressions,
 )
 from benthoframe.sources import dictionary as dd
-from benthoframe.sources.csv_files import BROKEN_ROW, MISSING, parse_value
+from benthoframe.sources.csv_files import BROKEN_ROW, MISSING, PLACES, parse_value
 
 KEYS = {"stations": "StationID", "species": "EntryID", "bioconversion": "Taxon"}
 
@@ -44,7 +44,7 @@ TIME_PATTERN = r"^[0-2]\d:[0-5]\d:[0-5]\d$"
 
 class Rule(NamedTuple):
     rule: str
-    column: str
+    column: str | None
     bad: Column
     message: str
 
@@ -52,11 +52,18 @@ class Rule(NamedTuple):
 TEXT = "_text_"
 
 
-def text_rules(columns: Sequence[str], table: str) -> list[Rule]:
+Presence = Callable[[str], Column]
+
+
+def always(column: str) -> Column:
+    return F.lit(True)
+
+
+def text_rules(columns: Sequence[str], table: str, has: Presence = always) -> list[Rule]:
     """Rules about the text of a cell, in columns prefixed `TEXT`: V1, V6, V9, V10, V13.
 
-    `columns` are the columns of the file; NA is a known missing value, an empty
-    cell is not.
+    `columns` are the columns of the file, or those of all files, of which `has` tells
+    whether the row's file has it; NA is a known missing value, an empty cell is not.
     """
     present = set(columns)
     required = set(dd.required(table))
@@ -65,14 +72,15 @@ def text_rules(columns: Sequence[str], table: str) -> list[Rule]:
         if a.name not in present:
             continue
         text = F.col(TEXT + a.name)
-        empty = text.isNull() | text.isin("", "NaN")
+        given = has(a.name)
+        empty = given & (text.isNull() | text.isin("", "NaN"))
         rules.append(Rule("empty_cell", a.name, empty, "cells may not be empty"))
         if a.name in required:
             rules.append(
                 Rule("required_missing", a.name, text == MISSING, "a required value is NA")
             )
         unreadable = (
-            ~empty & (text != MISSING) & parse_value(text, a.datatype).isNull()
+            given & ~empty & (text != MISSING) & parse_value(text, a.datatype).isNull()
         )
         if a.datatype == "Double":
             rules.append(Rule("not_double", a.name, unreadable, "not a number"))
@@ -94,8 +102,11 @@ def required_rules(columns: Sequence[str], table: str) -> list[Rule]:
     ]
 
 
-def value_rules(columns: Sequence[str], table: str) -> list[Rule]:
-    """Rules about typed values of one row: V7, V11, V12, V14, V15, V17-V18, V20-V21, V23-V29."""
+def value_rules(columns: Sequence[str], table: str, has: Presence = always) -> list[Rule]:
+    """Rules about typed values of one row: V7, V11, V12, V14, V15, V17-V18, V20-V21, V23-V29.
+
+    A value that is not there breaks none of them, so only rules about what goes with a missing value ask `has`.
+    """
     present = set(columns)
     rules = []
 
@@ -147,28 +158,37 @@ def value_rules(columns: Sequence[str], table: str) -> list[Rule]:
                 add("weight_incomplete", weight, F.col(weight).isNotNull() & missing,
                     "needs " + ", ".join((kind, *others)))
                 add("weight_missing", weight,
-                    F.col(weight).isNull() & (known(kind) == "Entry"),
+                    has(weight) & F.col(weight).isNull() & (known(kind) == "Entry"),
                     f"{kind} cannot be Entry without a weight")
         if "Size_value" in present:
             for c in ("Size_unit", "Size_dimension"):
                 add("size_incomplete", c, F.col("Size_value").isNotNull() & known(c).isNull(),
                     "is missing for a measured size")
-                add("size_missing", c, F.col("Size_value").isNull() & known(c).isNotNull(),
+                add("size_missing", c, has("Size_value") & F.col("Size_value").isNull() & known(c).isNotNull(),
                     "is given without a size")
     return rules
 
 
 def row_violations(df: DataFrame, rules: Sequence[Rule], key: str) -> DataFrame:
     """Violations of row rules, all rules in one scan."""
-    found = F.array_compact(F.array(*[F.when(r.bad, F.lit(i)) for i, r in enumerate(rules)]))
+    hits = df.select("File", F.col(key).cast("string").alias("row_key"), F.explode(broken_rules(rules)).alias("i"))
+    return describe(hits, rules)
+
+
+def broken_rules(rules: Sequence[Rule]) -> Column:
+    """The numbers of the rules that a row breaks."""
+    return F.array_compact(F.array(*[F.when(r.bad, F.lit(i)) for i, r in enumerate(rules)]))
+
+
+def describe(hits: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Violations from (File, row_key, number of the rule `i`)."""
     described = F.array(*[
         F.struct(
-            F.lit(r.rule).alias("rule"), F.lit(r.column).alias("column"),
+            F.lit(r.rule).alias("rule"), F.lit(r.column).cast("string").alias("column"),
             F.lit(r.message).alias("message"),
         )
         for r in rules
     ])
-    hits = df.select("File", F.col(key).cast("string").alias("row_key"), F.explode(found).alias("i"))
     detail = F.get(described, F.col("i"))
     return hits.select(
         "File", detail["rule"].alias("rule"), "row_key", detail["column"].alias("column"),
@@ -190,18 +210,6 @@ def _violation(
     )
 
 
-def row_width_violations(part: DataFrame) -> DataFrame:
-    """Rows with more or fewer cells than their header, with the raw line as evidence."""
-    # The reader refuses to read the broken rows alone, so another column comes along.
-    other = next(F.col("`" + c.replace("`", "``") + "`") for c in part.columns if c not in ("File", BROKEN_ROW))
-    return part.filter(F.col(BROKEN_ROW).isNotNull()).select(
-        "File", F.lit("row_width").alias("rule"), F.coalesce(BROKEN_ROW, other).alias("row_key"),
-        F.lit(None).cast("string").alias("column"),
-        F.lit("the row has more or fewer cells than the header").alias("message"),
-        F.lit(1).cast("bigint").alias("n"),
-    )
-
-
 def empty_file_violations(files: DataFrame) -> DataFrame:
     """Files without a header."""
     return files.select(
@@ -361,6 +369,40 @@ def validate_part(raw: DataFrame, table: str) -> DataFrame:
     return row_violations(both, text_rules(columns, table) + value_rules(columns, table), "_key")
 
 
+def checked_cells(cells: DataFrame, table: str) -> tuple[DataFrame, list[Rule]]:
+    """The rows of `csv_files.read_cells` with typed values and the numbers of the rules they break, and these rules.
+
+    Everything about a row comes from one scan: settle the result, and read both the table (`File` and the dictionary
+    columns) and `cell_violations` from that.
+    """
+    attributes = dd.attributes(table)
+    place = {a.name: F.get(PLACES, F.lit(i)) for i, a in enumerate(attributes)}
+    names, key = list(place), KEYS[table]
+    both = cells.select(
+        "File", PLACES, BROKEN_ROW,
+        *[F.col(n).alias(TEXT + n) for n in names],
+        *[parse_value(F.nullif(F.col(a.name), F.lit(MISSING)), a.datatype).alias(a.name) for a in attributes],
+    )
+
+    def has(column: str) -> Column:
+        return place[column] > 0
+
+    width = Rule("row_width", None, F.col(BROKEN_ROW).isNotNull(), "the row has more or fewer cells than the header")
+    rules = [width, *text_rules(names, table, has), *value_rules(names, table, has)]
+    checked = both.select(
+        "File", *names,
+        F.when(has(key), F.col(TEXT + key)).otherwise(F.col("File")).alias("_key"), BROKEN_ROW, broken_rules(rules).alias("_faults"),
+    )
+    return checked, rules
+
+
+def cell_violations(checked: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Violations of the rows of `checked_cells`; the key of a row of wrong width is its line."""
+    hits = checked.select("File", "_key", BROKEN_ROW, F.explode("_faults").alias("i"))
+    key = F.when(F.col("i") == 0, F.col(BROKEN_ROW)).otherwise(F.col("_key"))
+    return describe(hits.select("File", key.alias("row_key"), "i"), rules)
+
+
 def validate_species_set(species: DataFrame) -> DataFrame:
     """Set rules on all entries: V5, V16, V19, V22."""
     return duplicate_ids(species, "EntryID").unionByName(sample_violations(species))

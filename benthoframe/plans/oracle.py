@@ -226,14 +226,37 @@ SELECT n.Query, 0 AS isFuzzy, t.cand_id, {RECORD} FROM {names} n
 JOIN taxonomy_candidates t ON t.name = n.Query"""
 
 
-def _fuzzy(names: str, distance: int) -> str:
+# Like sounds of a word, as the library has them, letter by letter.
+_FIRST = (
+    "ae:e cn:n ct:t cz:c dj:j ea:e eu:u gn:n kn:n mn:n oe:e qu:q ps:s pt:t ts:s wr:r x:z"
+)
+_INSIDE = "ae:i ia:a oe:i oi:a sc:s ph:f h:"
+
+
+def _sound(name: str) -> str:
+    first = " ".join(
+        f"WHEN starts_with(w, '{a}') THEN '{b}' || substr(w, {len(a) + 1})"
+        for a, b in (pair.split(":") for pair in _FIRST.split())
+    )
+    word = f"CASE {first} ELSE w END"
+    for a, b in (pair.split(":") for pair in _INSIDE.split()):
+        word = f"replace({word}, '{a}', '{b}')"
+    letters = f"list_prepend('', string_split(translate({word}, 'eouykz', 'iaiicc'), ''))"
+    single = f"list_reduce({letters}, lambda s, c: CASE WHEN right(s, 1) = c THEN s ELSE s || c END)"
+    words = f"string_split_regex(regexp_replace(lower(trim({name})), '[^a-z ]', '', 'g'), ' +')"
+    return f"array_to_string(list_transform({words}, lambda w: regexp_replace({single}, '[ai][sm]?$', 'a')), ' ')"
+
+
+def _fuzzy(names: str, distance: int, phonetic: bool = False) -> str:
+    alike = f"""
+ OR ({_sound('Query')} = {_sound('name')} AND d <= greatest(2, least(length(Query), length(name)) // 4))"""
     return f"""
 SELECT Query, 1 AS isFuzzy, cand_id, {RECORD} FROM (
  SELECT *, min(d) OVER (PARTITION BY Query) AS nearest FROM (
   SELECT n.Query, t.*, levenshtein(n.Query, t.name) AS d
   FROM {names} n CROSS JOIN taxonomy_candidates t
   WHERE n.Query NOT IN (SELECT name FROM taxonomy_candidates))
- WHERE d <= {distance}) WHERE d = nearest"""
+ WHERE d <= {distance}{alike if phonetic else ''}) WHERE d = nearest"""
 
 
 def _resolve(names: str, candidates: str) -> str:
@@ -267,6 +290,10 @@ oracle("name_fuzzy_two", _fuzzy("written_names", 2))
 oracle("name_resolution", _resolve(
     "written_names", _exact("written_names") + " UNION ALL " + _fuzzy("written_names", 1)
 ))
+oracle("name_phonetic", _fuzzy("spoken_names", 1, True))
+oracle("name_resolution_phonetic", _resolve(
+    "spoken_names", _exact("spoken_names") + " UNION ALL " + _fuzzy("spoken_names", 1, True)
+))
 oracle("name_resolution_all", "SELECT * FROM merged_names")
 
 # --- conversions -------------------------------------------------------------------------
@@ -468,6 +495,13 @@ oracle("qc_no_regression", """
 SELECT valid_name, Size_dimension, is_Shell_removed, count(*) AS Number_of_species FROM completed
 WHERE Size_value > 0 AND Size_dimension IS NOT NULL AND A_factor IS NULL
 GROUP BY valid_name, Size_dimension, is_Shell_removed""")
+oracle("qc_reports", """
+SELECT 'unmatched_names' AS report, File, Species_reported, NULL AS valid_name, NULL AS Size_dimension, NULL AS is_Shell_removed, count(*) AS n
+FROM completed WHERE hasNoMatch = 1 GROUP BY ALL
+UNION ALL SELECT 'missing_factors', NULL, NULL, valid_name, NULL, is_Shell_removed, count(*)
+FROM completed WHERE (WW_g > 0 OR WW_g_calc > 0) AND WW_to_AFDW IS NULL GROUP BY ALL
+UNION ALL SELECT 'missing_regressions', NULL, NULL, valid_name, Size_dimension, is_Shell_removed, count(*)
+FROM completed WHERE Size_value > 0 AND Size_dimension IS NOT NULL AND A_factor IS NULL GROUP BY ALL""")
 oracle("qc_depth_difference", f"""
 SELECT {single('avg(Water_depth_m_cruise) - (SELECT avg(depth) FROM depth_reported)', 'mean_diff_depth')}
 FROM stations""")

@@ -3,20 +3,24 @@
 Each stage has a lazy form over DataFrames and a form over folders. The folder
 form writes the stage as Parquet and the next stage reads it, so that a lost
 executor costs a task, the lookups have a known size, and filters reach the scan.
+The tables of a stage are published together, or not at all.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from benthoframe.operators import bioconversion as bio
 from benthoframe.operators import depth, finalize, geometry, species as sp, taxonomy as tx
 from benthoframe.operators import validate as va
-from benthoframe.session import settle
+from benthoframe.session import scratch_root, settle
 from benthoframe.sources import csv_files as csv
-from benthoframe.sources.tables import load_table, save_table
+from benthoframe.sources import dictionary as dd
+from benthoframe.sources.tables import load_table, save_table, save_tables
 
 
 # --- construct ---------------------------------------------------------------
@@ -24,21 +28,21 @@ from benthoframe.sources.tables import load_table, save_table
 def construct_table(
     spark: SparkSession, folder: str, table: str, multiline: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """(typed table, violations of its header and row rules) of a CSV folder."""
-    headers = csv.read_headers(spark, folder)
-    parts = csv.read_parts(spark, headers, multiline)
-    if not parts:
-        raise FileNotFoundError(f"No CSV files in {folder}.")
-    typed = csv.unite([csv.type_columns(part, table) for part in parts])
+    """(typed table, violations of its header and row rules) of a CSV folder.
+
+    The files are read twice: for their headers, and for everything about their rows, which is stored.
+    """
+    headers = settle(csv.read_headers(spark, folder), "headers")
+    checked, rules = va.checked_cells(csv.read_cells(spark, folder, headers, table, multiline), table)
+    checked = settle(checked, f"checked-{table}")
     violations = csv.unite(
         [
             va.header_violations(headers, table),
             va.empty_file_violations(csv.empty_files(spark, folder)),
-            *[va.row_width_violations(p) for p in parts],
-            *[va.validate_part(p, table) for p in parts],
+            va.cell_violations(checked, rules),
         ]
     )
-    return typed, violations
+    return checked.select("File", *[a.name for a in dd.attributes(table)]), violations
 
 
 def construct_database(
@@ -56,15 +60,12 @@ def construct_database(
     species, species_faults = construct_table(spark, f"{in_folder}/Species", "species", multiline)
     species = va.apply_boolean_defaults(species)
     va.assert_valid(station_faults.unionByName(species_faults))
-    # typed once; the set rules and the stored tables read that instead of the CSV files
-    stations, species = settle(stations, "stations"), settle(species, "species")
     va.assert_valid(csv.unite([
         va.validate_stations_set(stations),
         va.validate_species_set(species),
         va.orphan_stations(species, stations),
     ]))
-    save_table(stations, out_folder, "stations_initial", as_csv)
-    save_table(species, out_folder, "species_initial", as_csv)
+    save_tables({"stations_initial": stations, "species_initial": species}, out_folder, as_csv)
     return (
         load_table(spark, out_folder, "stations_initial"),
         load_table(spark, out_folder, "species_initial"),
@@ -116,12 +117,13 @@ def collect_taxonomy(
     out_folder: str = "data",
     max_distance: int = 1,
     as_csv: bool = False,
+    phonetic: bool = True,
 ) -> DataFrame:
-    """Resolve all names against a taxonomy table and store the result."""
+    """Resolve all names against a taxonomy table and store the result; typos and like sounds are allowed."""
     if species is None:
         species = load_table(spark, data_folder, "species_initial")
     conversion_data = checked_conversion(spark, conversion_data)
-    resolved = tx.resolve_taxonomy(species, conversion_data, taxonomy, max_distance)
+    resolved = tx.resolve_taxonomy(species, conversion_data, taxonomy, max_distance, phonetic)
     save_table(resolved, out_folder, "taxonomy", as_csv)
     return load_table(spark, out_folder, "taxonomy")
 
@@ -141,8 +143,7 @@ def prepare_bioconversion(
     conversion_data = checked_conversion(spark, conversion_data)
     factors, regressions = bio.prepare_conversion(conversion_data, worms, levels)
     bio.assert_unique_conversion(factors, regressions)
-    save_table(factors, out_folder, "conversion_factors", as_csv)
-    save_table(regressions, out_folder, "regressions", as_csv)
+    save_tables({"conversion_factors": factors, "regressions": regressions}, out_folder, as_csv)
     return (
         load_table(spark, out_folder, "conversion_factors"),
         load_table(spark, out_folder, "regressions"),
@@ -170,7 +171,11 @@ def complete_database(
     as_csv: bool = True,
     tick_length_m: float = 2,
 ) -> dict[str, DataFrame]:
-    """Complete stations and entries and store them (E9); returns the reports R1-R4."""
+    """Complete stations and entries and store them (E9); returns the reports R1-R4.
+
+    The depth difference is observed while the stations are written, and one grouped pass over
+    the stored entries counts the other reports.
+    """
     if bathymetry is None:
         bathymetry = load_table(spark, data_folder, "bathymetry")
     worms = load_table(spark, data_folder, "taxonomy")
@@ -182,15 +187,14 @@ def complete_database(
     species = sp.complete_species(
         load_table(spark, data_folder, "species_initial"), worms, factors, regressions
     )
-    save_table(stations, out_folder, "stations_additions", as_csv)
-    save_table(species, out_folder, "species_additions", as_csv)
-    stations = load_table(spark, out_folder, "stations_additions")
-    species = load_table(spark, out_folder, "species_additions")
+    depths = Observation("depths")
+    stations = stations.observe(depths, sp.depth_difference())
+    save_tables({"stations_additions": stations, "species_additions": species}, out_folder, as_csv)
+    counted = settle(sp.count_reports(load_table(spark, out_folder, "species_additions")), "reports")
+    difference = depths.get["mean_diff_depth"]
     return {
-        "unmatched_names": sp.report_unmatched_names(species),
-        "missing_factors": sp.report_missing_factors(species),
-        "missing_regressions": sp.report_missing_regressions(species),
-        "depth_difference": sp.report_depth_difference(stations),
+        **{report: sp.counted_report(counted, report) for report in sp.REPORTS},
+        "depth_difference": spark.createDataFrame([(difference,)], "mean_diff_depth double"),
     }
 
 
@@ -223,6 +227,26 @@ def individuals_table(
     )
 
 
+@contextmanager
+def co_located(spark: SparkSession, folder: str, names: Sequence[str], buckets: int | None) -> Iterator[list[DataFrame]]:
+    """Stored tables as they are, or as tables bucketed by StationID that are removed afterwards."""
+    stored = [load_table(spark, folder, name) for name in names]
+    if not buckets:
+        yield stored
+        return
+    made = []
+    try:
+        for name, df in zip(names, stored):
+            table = f"benthoframe_{name}_{uuid.uuid4().hex}"
+            made.append(table)
+            dealt = df.repartition(buckets, "StationID").write.bucketBy(buckets, "StationID").sortBy("StationID")
+            dealt.option("path", f"{scratch_root(spark)}/{table}").format("parquet").saveAsTable(table)
+        yield [spark.table(table) for table in made]
+    finally:
+        for table in made:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def finalize_database(
     spark: SparkSession,
     data_folder: str = "data",
@@ -234,28 +258,27 @@ def finalize_database(
     quantitative_only: bool = False,
     default_count: float = 1,
     suffixes: tuple[str, str] = ("_sp", "_st"),
+    buckets: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Clean, aggregate and join the completed tables and store the results.
 
-    The options are those of the steps in `operators.finalize`.
+    With `buckets` the cleaned tables are dealt by station into so many buckets once, and the aggregate and both
+    joins need no further exchange; worth it where both tables are too large to broadcast. The other options are those of the steps in `operators.finalize`.
     """
     additions = load_table(spark, data_folder, "species_additions")
     conflicts = settle_conflicts(additions, per_station)
     cleaned = finalize.clean_species(additions, conflicts, upscale_wet_weight)
-    save_table(cleaned, out_folder, "species_final", as_csv)
     stations = finalize.clean_stations(load_table(spark, data_folder, "stations_additions"))
-    save_table(stations, out_folder, "stations_final", as_csv)
-
-    species_final = load_table(spark, out_folder, "species_final")
-    stations_final = load_table(spark, out_folder, "stations_final")
-    save_table(
-        density_table(species_final, stations_final, quantitative_only, default_count),
-        database_folder, "database", as_csv,
-    )
-    save_table(
-        individuals_table(species_final, stations_final, suffixes),
-        database_folder, "database_individuals", as_csv,
-    )
+    save_tables({"species_final": cleaned, "stations_final": stations}, out_folder, as_csv)
+
+    with co_located(spark, out_folder, ("species_final", "stations_final"), buckets) as (species_final, stations_final):
+        save_tables(
+            {
+                "database": density_table(species_final, stations_final, quantitative_only, default_count),
+                "database_individuals": individuals_table(species_final, stations_final, suffixes),
+            },
+            database_folder, as_csv,
+        )
     return (
         load_table(spark, database_folder, "database"),
         load_table(spark, database_folder, "database_individuals"),

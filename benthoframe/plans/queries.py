@@ -42,14 +42,24 @@ def with_single(df: DataFrame, *names: str) -> DataFrame:
 # --- shared inputs -----------------------------------------------------------------
 
 def resolved_names(spark: SparkSession, sf_dir: str, max_distance: int = 0) -> DataFrame:
+    candidates = stored_taxonomy if max_distance else taxonomy_view
     return tx.resolve_taxonomy(
         view(spark, sf_dir, "species"),
         view(spark, sf_dir, "bioconversion"),
-        view(spark, sf_dir, "taxonomy_candidates"),
+        candidates(spark, sf_dir),
         max_distance,
     )
 
 
+def taxonomy_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view(spark, sf_dir, "taxonomy_candidates")
+
+
+def stored_taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The candidates as a stored table, as they are outside these tests; fuzzy matching reads them more than once."""
+    return settle(taxonomy_view(spark, sf_dir), "taxonomy")
+
+
 def completed_species(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entries with names and conversions; the lookups are settled first."""
     worms = settle(resolved_names(spark, sf_dir), "names")
@@ -292,7 +302,7 @@ def name_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def name_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T3."""
-    taxonomy = view(spark, sf_dir, "taxonomy_candidates")
+    taxonomy = stored_taxonomy(spark, sf_dir)
     names = tx.names_without_match(view(spark, sf_dir, "written_names"), taxonomy)
     return tx.match_fuzzy(names, taxonomy)
 
@@ -300,17 +310,29 @@ def name_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def name_fuzzy_two(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T3 with distance 2."""
-    taxonomy = view(spark, sf_dir, "taxonomy_candidates")
+    taxonomy = stored_taxonomy(spark, sf_dir)
     names = tx.names_without_match(view(spark, sf_dir, "written_names"), taxonomy)
     return tx.match_fuzzy(names, taxonomy, 2)
 
 
+@query
+def name_phonetic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 on names as heard, most of them beyond an edit distance of 1."""
+    taxonomy = stored_taxonomy(spark, sf_dir)
+    names = tx.names_without_match(view(spark, sf_dir, "spoken_names"), taxonomy)
+    return tx.match_fuzzy(names, taxonomy, phonetic=True)
+
+
+@query
+def name_resolution_phonetic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4-T9 on names as heard."""
+    return tx.get_valid_names(view(spark, sf_dir, "spoken_names"), stored_taxonomy(spark, sf_dir), phonetic=True)
+
+
 @query
 def name_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T4-T9 on right and misspelled names."""
-    return tx.get_valid_names(
-        view(spark, sf_dir, "written_names"), view(spark, sf_dir, "taxonomy_candidates")
-    )
+    return tx.get_valid_names(view(spark, sf_dir, "written_names"), stored_taxonomy(spark, sf_dir))
 
 
 @query
@@ -410,6 +432,12 @@ def qc_no_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sp.report_missing_regressions(completed_species(spark, sf_dir))
 
 
+@query
+def qc_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1-R3 in one grouped pass."""
+    return sp.count_reports(completed_species(spark, sf_dir))
+
+
 @query
 def qc_depth_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R4."""

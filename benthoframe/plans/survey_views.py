@@ -186,6 +186,13 @@ UNION
 SELECT DISTINCT substr(p_name, 1, 2) || substr(p_name, 4) FROM {part}
 """
 
+# Names as heard: doubled letters, and one vowel for another.
+VIEWS["spoken_names"] = """
+SELECT DISTINCT replace(replace(p_name, 'l', 'll'), 'i', 'y') AS Query FROM {part}
+UNION
+SELECT DISTINCT replace(p_name, 'o', 'oo') || 'us' FROM {part}
+"""
+
 
 @lru_cache(maxsize=64)
 def _table(spark: SparkSession, path: str) -> DataFrame:

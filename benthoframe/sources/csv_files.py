@@ -1,9 +1,8 @@
 """Reading folders of survey CSV files.
 
-Files of one folder may have different columns. Spark reads many CSV files by
-position of the first header, so the files are grouped by header first and each
-group is read on its own, as text; types come later, so that a bad value is a
-violation instead of a silent NULL.
+Files of one folder may have different columns, and Spark reads many CSV files by position. So one pass finds the header of every
+file, and a second reads all files by position, as text, and picks each dictionary column from where the header of the row's file
+has it. Types come later, so that a bad value is a violation instead of a silent NULL.
 """
 
 from __future__ import annotations
@@ -15,13 +14,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from benthoframe.functions.columns import ensure_columns
+from benthoframe.session import settle
 from benthoframe.sources import dictionary as dd
 
 # Never present in the data: keeps an empty cell (NULL) apart from the text NA.
 _NO_NULL_TEXT = "\u0001"
 MISSING = "NA"
-# The raw line of a row that has more or fewer cells than the header of its file.
+# The line of a row that has more or fewer cells than the header of its file.
 BROKEN_ROW = "_broken_row"
+# Where the file of a row has each dictionary column, from 1; 0 where it lacks it.
+PLACES = "_places"
+# A comma outside quotes, and a cell in quotes.
+_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+_QUOTED = r'^"(?:[^"]|"")*"$'
 
 
 def read_headers(spark: SparkSession, folder: str) -> DataFrame:
@@ -42,14 +47,18 @@ def read_headers(spark: SparkSession, folder: str) -> DataFrame:
         .groupBy("path", "File")
         .agg(F.min_by("value", "id").alias("header"))
     )
-    cells = F.split(F.regexp_replace("header", "^﻿|\r$", ""), ",")
-    return first.select(
-        "path",
-        "File",
-        F.transform(cells, lambda c: F.trim(F.regexp_replace(F.trim(c), '^"|"$', ""))).alias(
-            "columns"
-        ),
-    )
+    line = F.regexp_replace("header", "^\ufeff|\r$", "")
+    # commas inside quotes are part of a name
+    cells = F.transform(F.split(line, _COMMA), lambda c: F.trim(c))
+    bare = lambda c: F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))
+    names = F.transform(cells, lambda c: F.when(c.rlike(_QUOTED), F.trim(bare(c))).otherwise(c))
+    return first.select("path", "File", names.alias("columns"))
+
+
+def count_cells(line: Column) -> Column:
+    """Cells of the text of a CSV row."""
+    bare = F.regexp_replace(line, r'(^|,)\s*"(?:[^"]|"")*"\s*(?=,|$)', "$1")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
 
 
 def empty_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -65,50 +74,49 @@ def empty_files(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(empty, "File string")
 
 
-def read_parts(
-    spark: SparkSession, headers: DataFrame, multiline: bool = False
-) -> list[DataFrame]:
-    """One DataFrame of text columns and `File` per distinct header.
+def read_cells(
+    spark: SparkSession, folder: str, headers: DataFrame, table: str, multiline: bool = False
+) -> DataFrame:
+    """The rows of all files of a folder in one scan (S1): File, every dictionary column as text, `PLACES`, `BROKEN_ROW`.
 
-    An empty cell is NULL; the text ``NA`` is kept until `type_columns`. A row whose
-    number of cells is not that of the header has its line in `BROKEN_ROW`, which is
-    NULL otherwise. Only the list of files per distinct header passes through the driver.
+    `headers` are those of `read_headers`, settled. A column that the row's file lacks is NULL and has place 0 in
+    `PLACES`, which follows the dictionary; an empty cell is NULL, the text ``NA`` is kept until `type_columns`.
+    `BROKEN_ROW` has the line of a row with more or fewer cells than the header of its file, and is NULL otherwise.
     """
-    by_header = headers.groupBy("columns").agg(F.collect_list("path").alias("paths")).collect()
-    parts = []
-    for row in sorted(by_header, key=lambda r: r["columns"]):
-        names = _distinct(row["columns"])
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, BROKEN_ROW]])
-        part = (
-            spark.read.schema(schema)
-            .option("header", True)
-            .option("multiLine", multiline)
-            .option("columnNameOfCorruptRecord", BROKEN_ROW)
-            .option("columnPruning", False)  # else only the wanted cells are counted
-            .option("nullValue", _NO_NULL_TEXT)
-            .option("escape", '"')
-            .option("ignoreLeadingWhiteSpace", True)
-            .option("ignoreTrailingWhiteSpace", True)
-            .csv(row["paths"])
-        )
-        parts.append(
-            part.select(
-                F.col("_metadata.file_name").alias("File"),
-                *["`" + c.replace("`", "``") + "`" for c in names],
-                BROKEN_ROW,
-            )
-        )
-    return parts
-
-
-def _distinct(columns: list[str]) -> list[str]:
-    """Column names made unique, also against the added `File`."""
-    seen, names = {"file"}, []
-    for position, name in enumerate(columns):
-        unique = f"{name}_{position}" if name.lower() in seen or not name else name
-        seen.add(unique.lower())
-        names.append(unique)
-    return names
+    most = headers.agg(F.max(F.size("columns"))).first()[0]
+    if most is None:
+        raise FileNotFoundError(f"No CSV files in {folder}.")
+    positions = [f"_c{i}" for i in range(most)]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*positions, BROKEN_ROW]])
+    raw = (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("multiLine", multiline)
+        .option("columnNameOfCorruptRecord", BROKEN_ROW)
+        .option("columnPruning", False)  # else only the wanted cells are counted
+        .option("nullValue", _NO_NULL_TEXT)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", True)
+        .option("ignoreTrailingWhiteSpace", True)
+        .csv(folder)
+    )
+    names = [a.name for a in dd.attributes(table)]
+    places = F.array(*[F.array_position("columns", F.lit(n)).cast("int") for n in names])
+    heads = headers.select(F.col("path").alias("_path"), F.size("columns").alias("_width"), places.alias(PLACES))
+    rows = raw.select(
+        F.col("_metadata.file_path").alias("_file_path"), F.col("_metadata.file_name").alias("File"),
+        *positions, BROKEN_ROW,
+    ).join(heads, F.col("_file_path") == F.col("_path"))
+    cells = F.array(*positions)
+    # the reader compares with the widest header: it gives the line of every other number of cells
+    found = F.when(F.col(BROKEN_ROW).isNull(), most).otherwise(count_cells(F.col(BROKEN_ROW)))
+    line = F.coalesce(BROKEN_ROW, F.array_join(cells, ",", ""))
+    return rows.select(
+        "File",
+        *[F.get(cells, F.get(PLACES, F.lit(i)) - 1).alias(n) for i, n in enumerate(names)],
+        PLACES,
+        F.when(found != F.col("_width"), line).alias(BROKEN_ROW),
+    )
 
 
 def unite(parts: list[DataFrame]) -> DataFrame:
@@ -120,8 +128,8 @@ def read_typed_folder(
     spark: SparkSession, folder: str, table: str, multiline: bool = False
 ) -> DataFrame:
     """All CSV files of a folder in the types of the dictionary, unchecked."""
-    parts = read_parts(spark, read_headers(spark, folder), multiline)
-    return unite([type_columns(part, table) for part in parts])
+    headers = settle(read_headers(spark, folder), "headers")
+    return type_columns(read_cells(spark, folder, headers, table, multiline), table)
 
 
 def parse_value(text: Column, datatype: str) -> Column:

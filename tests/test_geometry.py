@@ -87,10 +87,27 @@ def test_depth_missing_cell_and_irregular_grid(spark):
     df = spark.createDataFrame([("a", 2.0, 51.0)], "StationID string, lon double, lat double")
     holed = grid(spark).filter("NOT (x = 2.0 AND y = 51.0)")
     assert depth.add_water_depth(df, holed, "lon", "lat", "d").first()["d"] is None
-    odd = spark.createDataFrame([(0.0, 0.0, 1.0), (1.0, 0.0, 1.0), (7.0, 1.0, 1.0)],
-                                "x double, y double, z double")
-    with pytest.raises(Exception, match="not regularly spaced"):
-        depth.add_water_depth(df, odd, "lon", "lat", "d").collect()
+    empty = grid(spark).limit(0)
+    with pytest.raises(ValueError, match="empty"):
+        depth.add_water_depth(df, empty, "lon", "lat", "d")
+
+
+@pytest.mark.parametrize("regular_y", [True, False])
+def test_depth_on_irregular_axes(spark, regular_y):
+    """Nearest lines by brute force, beyond both edges, on lines and between them, with a line missing."""
+    xs = [0.0, 0.1, 0.15, 1.0, 1.1, 2.5, 7.0, 7.01]
+    ys = [50.0, 50.5, 51.0] if regular_y else [50.0, 50.5, 51.5, 52.0]
+    cells = [(x, y, -(100 * i + j + 1.0)) for i, x in enumerate(xs) for j, y in enumerate(ys)]
+    points = [(f"s{i}", -1 + i * 0.0917, 49.7 + i * 0.031) for i in range(100)] + [("on", 2.5, 50.5), ("tie", 1.75, 50.25), ("none", None, 50.0)]
+    df = spark.createDataFrame(points, "StationID string, lon double, lat double")
+    odd = spark.createDataFrame(cells, "x double, y double, z double")
+    got = {r["StationID"]: r["d"] for r in depth.add_water_depth(df, odd, "lon", "lat", "d").collect()}
+    for name, lon, lat in points:
+        if lon is None:
+            assert got[name] is None
+            continue
+        x, y = (min(lines, key=lambda v: (abs(v - at), v)) for lines, at in ((xs, lon), (ys, lat)))
+        assert got[name] == next(-z for cx, cy, z in cells if (cx, cy) == (x, y)), name
 
 
 def test_bbox(spark):

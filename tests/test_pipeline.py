@@ -2,11 +2,12 @@
 
 import pytest
 
+from benthoframe.operators import validate as va
 from benthoframe.operators.validate import InvalidInput
 from benthoframe.plans import pipeline as pl
 from benthoframe.sources import csv_files as csv
 from benthoframe.sources import dictionary as dd
-from benthoframe.sources.tables import load_table
+from benthoframe.sources.tables import load_table, save_tables, table_path
 
 STATIONS_1 = """CruiseID,StationID,Date,Lat_start_DD,Lon_start_DD,Lat_stop_DD,Lon_stop_DD,Blade_depth_cm,Blade_width_cm,is_Quantitative,Station_objective,Odometer_count,Comment
 C1,C1#1,1/2/2017,52.0,4.0,52.0009,4.0,20,20,1,Complete,50,"a, quoted"
@@ -93,6 +94,7 @@ def test_reports(finished):
     assert [tuple(r) for r in reports["unmatched_names"].collect()] == [("2017_C1.csv", "Nobody knows", 1)]
     assert [r["valid_name"] for r in reports["missing_factors"].collect()] == []
     assert reports["missing_regressions"].count() == 0
+    assert reports["depth_difference"].columns == ["mean_diff_depth"] and reports["depth_difference"].count() == 1
 
 
 def test_density(finished):
@@ -130,7 +132,7 @@ def test_result_dictionaries_follow_the_tables(finished):
 
 
 def test_csv_copies(spark, finished):
-    copy = csv.read_typed_folder(spark, finished["out"] + "/stations_initial_csv", "stations").drop("File")
+    copy = csv.read_typed_folder(spark, table_path(spark, finished["out"], "stations_initial") + "_csv", "stations").drop("File")
     stored = load_table(spark, finished["out"], "stations_initial").select(*copy.columns)
     assert copy.exceptAll(stored).count() == 0 and copy.count() == stored.count()
 
@@ -150,6 +152,53 @@ def test_stage_options(spark, inputs, finished, tmp_path):
     assert first["Individual_WW_g"] == pytest.approx(16 / 6) and first["Comment_station"] == "a, quoted"
 
 
+def test_a_failed_write_leaves_the_former_pair(spark, inputs, tmp_path):
+    """Tables of a stage are published together."""
+    out = str(tmp_path / "data")
+    pl.construct_database(spark, str(inputs), out, as_csv=False)
+    before = {n: load_table(spark, out, n).collect() for n in ("stations_initial", "species_initial")}
+    stations = load_table(spark, out, "stations_initial")
+    fails = load_table(spark, out, "species_initial").selectExpr("*", "raise_error('disk full') AS gone")
+    with pytest.raises(Exception, match="disk full"):
+        save_tables({"stations_initial": stations.limit(1), "species_initial": fails}, out)
+    assert {n: load_table(spark, out, n).collect() for n in before} == before
+    # a later call takes their place, others stay, and the folder does not fill up
+    for n in (1, 2, 3):
+        save_tables({"stations_initial": stations.limit(n)}, out)
+    assert load_table(spark, out, "stations_initial").count() == 3
+    assert load_table(spark, out, "species_initial").collect() == before["species_initial"]
+    assert len(list((tmp_path / "data" / "versions").iterdir())) == 3
+
+
+def test_two_scans_of_the_files(spark, inputs):
+    """The headers take one text scan, all else about the rows one CSV scan; the results read stored tables."""
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    folder = str(inputs / "Species")
+    headers = csv.read_headers(spark, folder)
+    assert plan(headers).count("FileScan text") == 1
+    checked, _ = va.checked_cells(csv.read_cells(spark, folder, pl.settle(headers, "headers"), "species"), "species")
+    assert plan(checked).count("FileScan csv") == 1 and "FileScan text" not in plan(checked)
+    for df in pl.construct_table(spark, folder, "species"):
+        assert "FileScan csv" not in plan(df) and "FileScan text" not in plan(df)
+
+
+def test_bucketed_tables_need_no_exchange(spark, finished, tmp_path):
+    """With buckets the aggregate and both joins read their keys where they lie, and the results are the same."""
+    out, new = finished["out"], str(tmp_path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with pl.co_located(spark, out, ("species_final", "stations_final"), 4) as (species, stations):
+            for df in (pl.density_table(species, stations), pl.individuals_table(species, stations)):
+                plan = df._jdf.queryExecution().executedPlan().toString()
+                assert "SortMergeJoin" in plan and "Exchange" not in plan
+        database, individuals = pl.finalize_database(spark, out, new, new, as_csv=False, buckets=4)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("benthoframe_")]
+    assert database.exceptAll(finished["database"]).count() == 0 == finished["database"].exceptAll(database).count()
+    assert individuals.exceptAll(finished["individuals"]).count() == 0 and individuals.count() == finished["individuals"].count()
+
+
 def test_invalid_input(spark, inputs, tmp_path):
     write(tmp_path / "Stations", "a.csv", STATIONS_1.replace("1/2/2017", "2017"))
     write(tmp_path / "Species", "a.csv", SPECIES_1)

@@ -66,6 +66,42 @@ def test_fuzzy_equals_cross_join(spark, k):
     assert got == {(r["Query"], r["name"]) for r in pairs if r["d"] == best[r["Query"]]}
 
 
+def test_phonetic_keys(spark):
+    alike = [
+        ("Abra alba", "abra albus"), ("Mysella bidentata", "Misela bidentatum"), ("Phaxas pellucidus", "Faxas pelucida"),
+        ("Echinocardium", "Ecinocardyum"), ("Psammechinus miliaris", "Samechinus miliarus"), ("Aequipecten", "Equipecten"),
+        ("Xantho", "Zanto"), ("Gnathia", "Nathia"), ("Ctena", "Tena"), ("Oerstedia", "Erstedia"),
+    ]
+    unlike = [("Abra alba", "Abra nitida"), ("Ensis", "Ophiura"), ("Mya", "Nucula"), ("Abra alba", "Abra")]
+    keys = lambda pairs: spark.createDataFrame(pairs, "a string, b string").select(tx.phonetic_key(F.col("a")), tx.phonetic_key(F.col("b"))).collect()
+    assert all(a == b for a, b in keys(alike)) and all(a != b for a, b in keys(unlike))
+
+
+def test_names_that_sound_alike(spark, taxonomy):
+    asked = ["Abbra allbus", "Ensys ensys", "Nukulla", "Abra alb", "Myyaa", "Abra completely"]
+    got = {r["Query"]: (r["valid_name"], r["isFuzzy"]) for r in tx.get_valid_names(
+        spark.createDataFrame([(a,) for a in asked], "Query string"), taxonomy, 1, phonetic=True).collect()}
+    assert got == {"Abbra allbus": (None, 1), "Ensys ensys": ("Ensis ensis", 1), "Nukulla": ("Nucula ok", 1),
+                   "Abra alb": ("Abra alba", 1), "Myyaa": ("Mya vera", 1), "Abra completely": (None, 1)}
+    assert resolve(spark, taxonomy, ["Nukulla"])["Nukulla"]["valid_name"] is None
+
+
+@pytest.mark.parametrize("k", [0, 1, 2])
+def test_phonetic_equals_cross_join(spark, k):
+    words = ["abra alba", "abra nitida", "ensis ensis", "ensis siliqua", "mya arenaria", "phaxas pellucidus", "aa", "i"]
+    asked = ["abbra albus", "ensys", "ensys ensys", "faxas pelucidus", "mia arenarya", "abra nitda", "a", "y", "", "123"]
+    taxonomy = spark.createDataFrame([record(w, i, w) for i, w in enumerate(words)], SCHEMA)
+    names = spark.createDataFrame([(a,) for a in asked], "Query string")
+    got = {tuple(r) for r in tx.match_fuzzy(names, taxonomy, k, phonetic=True).select("Query", "valid_name").collect()}
+    query, name = F.col("Query"), F.col("name")
+    near = (F.col("d") <= k) | ((tx.phonetic_key(query) == tx.phonetic_key(name)) & tx.sounds_alike(query, name))
+    pairs = names.crossJoin(taxonomy.select("name")).withColumn("d", F.levenshtein("Query", "name")).filter(near).collect()
+    best = {}
+    for r in pairs:
+        best[r["Query"]] = min(best.get(r["Query"], 99), r["d"])
+    assert got and got == {(r["Query"], r["name"]) for r in pairs if r["d"] == best[r["Query"]]}
+
+
 def test_distinct_names(spark):
     species = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "Species_reported string")
     conversion = spark.createDataFrame([("b",), ("c",)], "Taxon string")
