@@ -6,6 +6,7 @@ source, and a condition that is itself unknown gives an unknown result.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -44,19 +45,19 @@ def null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Colu
 
 
 def left_join_lookup(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], required: str, rows: Sequence[str] = ("StationID", "EntryID")
+    left: DataFrame, right: DataFrame, keys: Sequence[str], required: str, row_key: str = "EntryID"
 ) -> DataFrame:
     """Left join on `keys` with NULL matching NULL, keeping the left key columns.
 
     `required` is the text key that no row of the lookup lacks. Rows of the left side that lack it have no partner; they get
-    distinct keys by the columns `rows` that tell them apart, so that they do not meet in one task when the lookup is too large to broadcast.
+    keys of their own from `row_key`, so that they do not meet in one task when the lookup is too large to broadcast.
     """
     renamed = right.select(
         *[F.col(k).alias(f"__{k}") for k in keys],
         *[F.col(c) for c in right.columns if c not in keys],
     )
-    told = [left[c] for c in rows if c in left.columns]
-    alone = F.concat(F.lit("\u0001"), F.pmod(F.xxhash64(*told), F.lit(4096)).cast("string")) if told else F.lit("\u0001")
+    mark = F.lit("\u0001")  # no text begins with it
+    alone = F.concat(mark, left[row_key].cast("string")) if row_key in left.columns else mark
     condition = F.coalesce(left[required], alone) == renamed[f"__{required}"]
     for key in keys:
         if key != required:
@@ -64,6 +65,16 @@ def left_join_lookup(
     return left.join(renamed, condition, "left").drop(*[f"__{k}" for k in keys])
 
 
+def end_method(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, at a place where Spark ends one generated method and begins the next.
+
+    A stage of many joins and formulas otherwise becomes one method, and the JVM does not compile methods of more
+    than 8,000 bytes. The rows are counted under `name` for query listeners. Filters are not pushed
+    below this place; unused columns are pruned through it.
+    """
+    return df.observe(f"{name}-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))
+
+
 def ensure_columns(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
     """Add every field that `df` lacks as a typed NULL column (S3)."""
     present = set(df.columns)

@@ -10,10 +10,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from benthoframe.functions.columns import null_safe_on
 from benthoframe.session import settle
 
 LEVELS = ("phylum", "class", "order", "family", "genus")
@@ -140,43 +139,80 @@ def prefer_manual(
 ) -> DataFrame:
     """Drop a calculated row where its key has a manual one.
 
-    Two calculated rows of one key stay, for `assert_unique_conversion` to report.
+    Two calculated rows of one key stay, for the checks of unique keys to report.
     `reference_mode` drops every calculated row of a key with two rows, as the original does.
     """
     calculated = F.coalesce(F.col(comment) == MEAN_LABEL, F.lit(False))
-    counted = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.count_if(~calculated).alias("_manual")
+    # A key has a handful of rows: the manual ones and a mean.
+    same_key = Window.partitionBy(*keys)
+    counted = df.withColumns({
+        "_n": F.count(F.lit(1)).over(same_key), "_manual": F.count_if(~calculated).over(same_key)
+    })
+    beaten = (F.col("_n") == 2) if reference_mode else (F.col("_n") > 1) & (F.col("_manual") > 0)
+    return counted.filter(~(calculated & beaten)).drop("_n", "_manual")
+
+
+LOOKUP_KEY = ("lookup", "valid_name", "Size_dimension", "is_Shell_removed")
+
+
+def prepare_lookups(
+    conversion_data: DataFrame, worms: DataFrame, levels: Sequence[str] = LEVELS
+) -> DataFrame:
+    """Factors and regressions by accepted name in one table, with means of higher taxa.
+
+    `lookup` tells the two apart; `same_key` counts the rows of a key, which is 1 in a valid table (B13). The rows are dealt
+    by their key once, for the distinct rows, the manual values and the count.
+    """
+    complete = calculate_mean_conversion(attach_names(conversion_data, worms), levels).withColumn(
+        "is_Shell_removed", F.col("is_Shell_removed").cast("boolean")
     )
-    pairs = counted.filter("_n = 2" if reference_mode else "_n > 1 AND _manual > 0")
-    dropped = pairs.drop("_n", "_manual")
-    kept = df.join(dropped, null_safe_on(df, dropped, keys) & calculated, "left_anti")
-    return kept
+
+    def row(lookup: str, known: Column, columns: Sequence[str], suffix: str) -> Column:
+        kept = {c: F.col(c) if c in columns else F.lit(None).cast(complete.schema[c].dataType)
+                for c in ("Size_dimension", "WW_to_AFDW", "A_factor", "B_exponent", "Output_unit")}
+        return F.when(known, F.struct(
+            F.lit(lookup).alias("lookup"), "valid_name", "is_Shell_removed", *[v.alias(c) for c, v in kept.items()],
+            F.col(f"Reference_{suffix}").alias("reference"), F.col(f"Comment_{suffix}").alias("comment"),
+        ))
+
+    both = F.array(
+        row("factors", F.col("WW_to_AFDW") > 0, ("WW_to_AFDW",), "WW_to_AFDW"),
+        row("regressions", F.col("Output_unit").isNotNull(), ("Size_dimension", "A_factor", "B_exponent", "Output_unit"), "regression"),
+    )
+    rows = complete.filter(F.col("valid_name").isNotNull()).select(F.explode(F.array_compact(both)).alias("_row")).select("_row.*")
+    kept = prefer_manual(rows.repartition(*LOOKUP_KEY).distinct(), LOOKUP_KEY, "comment")
+    return kept.withColumn("same_key", F.count(F.lit(1)).over(Window.partitionBy(*LOOKUP_KEY)))
 
 
 def prepare_conversion(
-    conversion_data: DataFrame, worms: DataFrame, levels: Sequence[str] = LEVELS
+    conversion_data: DataFrame, worms: DataFrame, levels: Sequence[str] = LEVELS, check: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """(factors, regressions) by accepted name, with means of higher taxa.
 
-    The table with the means is settled, since both lookups read it more than once.
-    `assert_unique_conversion` checks that the keys are unique (B13).
+    Both are parts of one stored table. With `check` a key that occurs twice raises, as `assert_unique_conversion`
+    does, in one look at that table (B13).
     """
-    named = attach_names(conversion_data, worms)
-    complete = settle(
-        calculate_mean_conversion(named, levels).withColumn(
-            "is_Shell_removed", F.col("is_Shell_removed").cast("boolean")
-        ),
-        "conversion",
-    )
-    factors = prefer_manual(
-        split_factors(complete), ("valid_name", *FACTOR_KEY), "Comment_WW_to_AFDW"
+    lookups = settle(prepare_lookups(conversion_data, worms, levels), "lookups")
+    if check:
+        doubles = lookups.filter("same_key > 1").select(
+            "lookup", _key_text([c for c in LOOKUP_KEY if c != "lookup"]), F.col("same_key").alias("Count")
+        )
+        _refuse(doubles.distinct())
+    factors = lookups.filter("lookup = 'factors'").select(
+        "valid_name", "WW_to_AFDW", F.col("reference").alias("Reference_WW_to_AFDW"), "is_Shell_removed",
+        F.col("comment").alias("Comment_WW_to_AFDW"),
     )
-    regressions = prefer_manual(
-        split_regressions(complete), ("valid_name", *REGRESSION_KEY), "Comment_regression"
+    regressions = lookups.filter("lookup = 'regressions'").select(
+        "valid_name", "Size_dimension", "A_factor", "B_exponent", "Output_unit",
+        F.col("reference").alias("Reference_regression"), F.col("comment").alias("Comment_regression"), "is_Shell_removed",
     )
     return factors, regressions
 
 
+def _key_text(keys: Sequence[str]) -> Column:
+    return F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys]).alias("key")
+
+
 def lookup_doubles(
     factors: DataFrame, regressions: DataFrame, worms: DataFrame | None = None
 ) -> DataFrame:
@@ -190,7 +226,7 @@ def lookup_doubles(
     found = [
         _doubles(df, keys).select(
             F.lit(lookup).alias("lookup"),
-            F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys]).alias("key"),
+            _key_text(keys),
             "Count",
         )
         for lookup, (df, keys) in checks.items()
@@ -202,7 +238,11 @@ def assert_unique_conversion(
     factors: DataFrame, regressions: DataFrame, worms: DataFrame | None = None
 ) -> None:
     """Raise when a key of the prepared lookups occurs twice (B13, V34); one job for all of them."""
-    shown = lookup_doubles(factors, regressions, worms).take(20)
+    _refuse(lookup_doubles(factors, regressions, worms))
+
+
+def _refuse(doubles: DataFrame) -> None:
+    shown = doubles.take(20)
     if shown:
         keys = "; ".join(f"{row.lookup}: {row.key} ({row.Count} rows)" for row in shown)
         raise ValueError(f"These lookup keys are not unique: {keys}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from benthoframe.functions.columns import if_known, left_join_lookup
+from benthoframe.functions.columns import end_method, if_known, left_join_lookup
 from benthoframe.operators.taxonomy import RECORD
 
 TAXON_COLUMNS = [c for c in RECORD if c not in ("status", "isExtinct")]
@@ -81,6 +81,7 @@ def complete_species(
         species.transform(add_taxonomy, worms)
         .transform(add_conversion_factors, factors)
         .transform(add_regressions, regressions)
+        .transform(end_method, "joined_entries")
         .transform(add_size_mm)
         .transform(add_biomass)
     )

@@ -732,3 +732,51 @@ SELECT 'regressions', valid_name || ', ' || Size_dimension || ', ' || is_Shell_r
 GROUP BY valid_name, Size_dimension, is_Shell_removed HAVING count(*) > 1
 UNION ALL
 SELECT 'taxonomy', name, count(*) FROM taxonomy_candidates GROUP BY name HAVING count(*) > 1""")
+
+# --- what is rare ----------------------------------------------------------------------------
+
+for _name in ("completed", "upscaled", "unconflicted", "cleaned", "totals"):
+    _text = COMMON[_name].replace("JOIN names n", "JOIN merged_names n")
+    for _before in ("completed", "upscaled", "unconflicted", "cleaned"):
+        _text = re.sub(rf"\bFROM {_before}\b", f"FROM fuzzy_{_before}", _text)
+    COMMON[f"fuzzy_{_name}"] = _text
+oracle("totals_fuzzy_names", f"SELECT * EXCLUDE (Biomass_g), {singles('Biomass_g')} FROM fuzzy_totals")
+oracle("rare_upscale", f"""
+SELECT EntryID, CASE WHEN Fraction <> 0 THEN round_even(Count / Fraction, 0) END AS Count,
+ {', '.join(single(f'CASE WHEN Fraction <> 0 THEN {c} / Fraction END', c) for c in ('AFDW_g', 'AFDW_g_from_WW', 'AFDW_g_calc'))}
+FROM rare_entries""")
+oracle("rare_regressions", """
+SELECT EntryID, e.valid_name, e.Size_dimension, e.is_Shell_removed, A_factor, B_exponent, Output_unit
+FROM rare_entries e LEFT JOIN rare_regressions r ON r.valid_name = e.valid_name
+ AND r.Size_dimension IS NOT DISTINCT FROM e.Size_dimension AND r.is_Shell_removed IS NOT DISTINCT FROM e.is_Shell_removed""")
+COMMON["rare_sums"] = f"""
+SELECT StationID, valid_name, File, {RANKS}, sum(coalesce(Count, 1)) AS Count_total,
+ coalesce(sum(AFDW_g_combined), 0) AS Biomass_g, max(isFuzzy) > 0 AS isFuzzy,
+ max(incomplete_count) > 0 AS incomplete_count, max(incomplete_biomass) > 0 AS incomplete_biomass
+FROM rare_entries GROUP BY StationID, valid_name, File, {RANKS}"""
+COMMON["rare_database"] = """
+SELECT r.* EXCLUDE (Count_total, Biomass_g), s.* EXCLUDE (File, StationID),
+ CASE WHEN Sample_area_m2 <> 0 THEN Count_total / Sample_area_m2 END AS Density_nr_per_m2,
+ CASE WHEN Sample_volume_m3 <> 0 THEN Count_total / Sample_volume_m3 END AS Density_nr_per_m3,
+ CASE WHEN Sample_area_m2 <> 0 THEN Biomass_g / Sample_area_m2 END AS Biomass_g_per_m2,
+ CASE WHEN Sample_volume_m3 <> 0 THEN Biomass_g / Sample_volume_m3 END AS Biomass_g_per_m3
+FROM rare_sums r JOIN rare_stations s ON s.StationID = r.StationID"""
+oracle("rare_totals", f"SELECT * EXCLUDE (Biomass_g), {singles('Biomass_g')} FROM rare_sums")
+oracle("rare_densities", f"SELECT * EXCLUDE ({', '.join(DENSITIES)}), {singles(*DENSITIES)} FROM rare_database")
+oracle("rare_community_values", f"""
+SELECT StationID, family AS taxon, {single('CASE WHEN count(Density_nr_per_m2) = count(*) THEN sum(Density_nr_per_m2) END', 'value')}
+FROM rare_database GROUP BY StationID, family""")
+
+
+def _rare_cell(name: str, condition: str) -> str:
+    mine = f"FILTER (WHERE {condition})"
+    value = (
+        f"CASE WHEN count(*) {mine} = 0 THEN 0"
+        f" WHEN count(Density_nr_per_m3) {mine} = count(*) {mine} THEN sum(Density_nr_per_m3) {mine} END"
+    )
+    return single(value, name)
+
+
+oracle("rare_community_matrix", f"""
+SELECT StationID, {', '.join(_rare_cell(f, f"family = '{f}'") for f in FAMILIES)}, {_rare_cell('NA', 'family IS NULL')}
+FROM rare_database GROUP BY StationID""")

@@ -141,8 +141,7 @@ def prepare_bioconversion(
     if worms is None:
         worms = load_table(spark, data_folder, "taxonomy")
     conversion_data = checked_conversion(spark, conversion_data)
-    factors, regressions = bio.prepare_conversion(conversion_data, worms, levels)
-    bio.assert_unique_conversion(factors, regressions)
+    factors, regressions = bio.prepare_conversion(conversion_data, worms, levels, check=True)
     save_tables({"conversion_factors": factors, "regressions": regressions}, out_folder, as_csv)
     return (
         load_table(spark, out_folder, "conversion_factors"),

@@ -60,12 +60,10 @@ def stored_taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settle(taxonomy_view(spark, sf_dir), "taxonomy")
 
 
-def completed_species(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Entries with names and conversions; the lookups are settled first."""
-    worms = settle(resolved_names(spark, sf_dir), "names")
-    factors, regressions = bio.prepare_conversion(view(spark, sf_dir, "bioconversion"), worms)
-    factors, regressions = settle(factors, "factors"), settle(regressions, "regressions")
-    bio.assert_unique_conversion(factors, regressions, worms)
+def completed_species(spark: SparkSession, sf_dir: str, worms: DataFrame | None = None) -> DataFrame:
+    """Entries with names and conversions; the lookups are settled first, with one row per name and key."""
+    worms = worms or settle(resolved_names(spark, sf_dir), "names")
+    factors, regressions = bio.prepare_conversion(view(spark, sf_dir, "bioconversion"), worms, check=True)
     return sp.complete_species(view(spark, sf_dir, "species"), worms, factors, regressions)
 
 
@@ -85,8 +83,11 @@ def prepared_conversion(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
 
 
 def cleaned_species(spark: SparkSession, sf_dir: str) -> DataFrame:
-    completed = completed_species(spark, sf_dir)
-    return finalize.clean_species(completed, pipeline.settle_conflicts(completed))
+    worms = settle(resolved_names(spark, sf_dir), "names")
+    completed = completed_species(spark, sf_dir, worms)
+    # conflicts need the names only
+    named = sp.add_taxonomy(view(spark, sf_dir, "species"), worms)
+    return finalize.clean_species(completed, pipeline.settle_conflicts(named))
 
 
 def completed_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,6 +211,64 @@ def totals_by_station_taxon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_single(totals, "Biomass_g")
 
 
+@query
+def totals_fuzzy_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F12, F13 where names of entries are found by likeness, so that isFuzzy is true for some."""
+    exact = settle(resolved_names(spark, sf_dir), "names")
+    factors, regressions = bio.prepare_conversion(view(spark, sf_dir, "bioconversion"), exact, check=True)
+    worms = settle(resolved_names(spark, sf_dir, max_distance=1), "names")
+    species = view(spark, sf_dir, "species")
+    completed = sp.complete_species(species, worms, factors, regressions)
+    conflicts = pipeline.settle_conflicts(sp.add_taxonomy(species, worms))
+    return with_single(finalize.aggregate_taxa(finalize.clean_species(completed, conflicts)), "Biomass_g")
+
+
+# --- what is rare: unknown, zero, not listed, in several files ---------------------------
+
+@query
+def rare_upscale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F4, F5 with fractions of 0 and unknown ones."""
+    scaled = finalize.upscale(view(spark, sf_dir, "rare_entries")).select("EntryID", *finalize.UPSCALED)
+    return with_single(scaled, "AFDW_g", "AFDW_g_from_WW", "AFDW_g_calc")
+
+
+@query
+def rare_regressions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E3 where a size has no dimension, in the entries and in the lookup."""
+    entries = view(spark, sf_dir, "rare_entries").select("EntryID", "valid_name", "Size_dimension", "is_Shell_removed")
+    return sp.add_regressions(entries, view(spark, sf_dir, "rare_regressions"))
+
+
+def rare_database(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pipeline.density_table(view(spark, sf_dir, "rare_entries"), view(spark, sf_dir, "rare_stations"))
+
+
+@query
+def rare_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F13 with fuzzy names and taxa in several files."""
+    return with_single(finalize.aggregate_taxa(view(spark, sf_dir, "rare_entries")), "Biomass_g")
+
+
+@query
+def rare_densities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F22, F23 with entries of unlisted stations, and areas that are 0 or unknown."""
+    return with_single(rare_database(spark, sf_dir), *DENSITIES)
+
+
+@query
+def rare_community_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5 with unknown densities."""
+    values = matrix.community_values(rare_database(spark, sf_dir), "family", "Density_nr_per_m2")
+    return with_single(values, "value")
+
+
+@query
+def rare_community_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6 with unknown cells and taxa without a family."""
+    wide = matrix.get_community_matrix(rare_database(spark, sf_dir), "family", "Density_nr_per_m3")
+    return with_single(wide, *[c for c in wide.columns if c != "StationID"])
+
+
 # --- stations ------------------------------------------------------------------------
 
 @query

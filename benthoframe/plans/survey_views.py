@@ -193,6 +193,42 @@ UNION
 SELECT DISTINCT replace(p_name, 'o', 'oo') || 'us' FROM {part}
 """
 
+# Entries as cleaning leaves them, with what is rare: names found by likeness or unknown whether, a taxon of a station in several
+# files, stations that are not listed, taxa without a family, fractions of 0 and unknown ones, sizes without a dimension.
+VIEWS["rare_entries"] = """
+SELECT 'sp_' || (l_linenumber % 3) || '.csv' AS File,
+ l_orderkey || '_' || l_linenumber || '_' || l_partkey || '_' || l_suppkey AS EntryID,
+ 'S' || (l_orderkey % 500) AS StationID, p_name AS valid_name, 'Species' AS rank,
+ 'phy' AS phylum, 'cla' AS class, CASE WHEN p_size % 6 = 0 THEN NULL ELSE 'ord' END AS "order",
+ CASE WHEN length(p_name) % 5 = 0 THEN NULL ELSE 'fam_' || substr(split_part(p_name, ' ', 2), 1, 2) END AS family,
+ split_part(p_name, ' ', 2) AS genus,
+ CASE WHEN l_suppkey % 10 = 0 THEN CAST(0 AS DOUBLE) WHEN l_suppkey % 10 = 1 THEN NULL ELSE CAST(0.5 AS DOUBLE) END AS Fraction,
+ CASE WHEN l_linenumber = 7 THEN NULL ELSE CAST(l_quantity AS DOUBLE) END AS Count,
+ CAST(l_extendedprice AS DOUBLE) / 10000 AS AFDW_g,
+ CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE CAST(l_extendedprice AS DOUBLE) / 100 END AS AFDW_g_from_WW,
+ CAST(l_tax AS DOUBLE) AS AFDW_g_calc,
+ CASE WHEN l_linenumber % 4 = 0 THEN NULL ELSE CAST(l_extendedprice AS DOUBLE) / 1000 END AS AFDW_g_combined,
+ CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END AS incomplete_count,
+ CASE WHEN l_linenumber % 4 = 0 THEN 1 ELSE 0 END AS incomplete_biomass,
+ CASE WHEN l_suppkey % 7 = 0 THEN 1 WHEN l_suppkey % 7 < 5 THEN NULL ELSE 0 END AS isFuzzy,
+ CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE 'Shell_length' END AS Size_dimension,
+ CASE WHEN l_linenumber % 5 = 0 THEN NULL ELSE l_partkey % 2 = 0 END AS is_Shell_removed
+FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
+"""
+
+VIEWS["rare_stations"] = """
+SELECT 'st.csv' AS File, 'S' || n AS StationID, n % 3 <> 0 AS is_Quantitative,
+ CASE WHEN n % 10 = 0 THEN NULL WHEN n % 10 = 1 THEN CAST(0 AS DOUBLE) ELSE CAST(20 + n AS DOUBLE) END AS Sample_area_m2,
+ CASE WHEN n % 10 = 0 OR n % 7 = 0 THEN NULL WHEN n % 10 = 1 THEN CAST(0 AS DOUBLE) ELSE CAST(2 + n AS DOUBLE) END AS Sample_volume_m3
+FROM (SELECT DISTINCT o_orderkey % 480 AS n FROM {orders}) stations
+"""
+
+VIEWS["rare_regressions"] = """
+SELECT DISTINCT p_name AS valid_name, CASE WHEN p_partkey % 2 = 0 THEN 'Shell_length' END AS Size_dimension,
+ CAST(length(p_name) AS DOUBLE) AS A_factor, CAST(2 AS DOUBLE) AS B_exponent, 'WW_g' AS Output_unit, p_partkey % 4 < 2 AS is_Shell_removed
+FROM {part}
+"""
+
 
 @lru_cache(maxsize=64)
 def _table(spark: SparkSession, path: str) -> DataFrame:

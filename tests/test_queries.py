@@ -3,21 +3,11 @@
 import duckdb
 import pytest
 from conftest import SF
+from pyspark.sql import functions as F
 
 from benthoframe.plans.oracle import ORACLE
 from benthoframe.plans.queries import QUERIES
 
-# One query per family; the others run in the same way with `python check_queries.py`.
-CHECKED = [
-    "density_by_station_taxon", "individuals", "community_density_family", "qc_no_match",
-    "sample_conflict", "station_area_volume", "track_midpoint", "water_depth", "survey_bbox",
-    "name_fuzzy_two", "name_resolution", "conv_prepared_factors", "conv_means_combined",
-    "violations_row_rules", "violations_station_rules", "violations_bioconversion",
-    "violations_fraction_consistency", "violations_sample_weights", "violations_text_rules",
-    "violations_headers", "boolean_defaults", "lookup_doubles", "conv_double_regressions",
-]
-
-
 @pytest.fixture(scope="module")
 def db():
     con = duckdb.connect()
@@ -50,7 +40,27 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", CHECKED)
+def test_rare_rows_are_there(spark):
+    """Each rare case is in the result it is about."""
+    run = lambda name: QUERIES[name](spark, SF)
+    assert run("totals_fuzzy_names").filter("isFuzzy").count() > 0
+    totals = run("rare_totals")
+    assert totals.filter("isFuzzy").count() > 0 and totals.filter("isFuzzy IS NULL").count() > 0
+    assert totals.groupBy("StationID", "valid_name").agg(F.count_distinct("File").alias("n")).filter("n > 1").count() > 0
+    densities = run("rare_densities")
+    assert totals.count() > densities.count()  # stations that are not listed
+    assert densities.filter("Sample_area_m2 = 0 AND Density_nr_per_m2 IS NULL").count() > 0
+    assert densities.filter("Sample_area_m2 IS NULL AND Density_nr_per_m2 IS NULL").count() > 0
+    values = run("rare_community_values")
+    assert values.filter("value IS NULL").count() > 0 and values.filter("taxon IS NULL AND value > 0").count() > 0
+    wide = run("rare_community_matrix")
+    assert wide.filter("NA > 0").count() > 0 and wide.filter("NA IS NULL").count() > 0 and wide.filter("fam_bo = 0").count() > 0
+    assert run("rare_upscale").filter("AFDW_g IS NULL").count() > 0
+    found = run("rare_regressions")
+    assert found.filter("Size_dimension IS NULL AND A_factor IS NOT NULL").count() > 0 and found.filter("A_factor IS NULL").count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
     compare(spark, db, name, SF)
 
@@ -74,6 +84,25 @@ def test_plans(spark):
     assert "BroadcastHashJoin" in totals
 
 
+def largest_method(spark, df):
+    """Bytes of the largest generated method of a plan without adaptive execution."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        execution = df._jdf.queryExecution()
+        plan = df._jdf.sparkSession().sessionState().executePlan(execution.logical(), execution.mode()).executedPlan()
+        stages = getattr(spark._jvm, "org.apache.spark.sql.execution.debug.package$").__getattr__("MODULE$").codegenStringSeq(plan)
+        return max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size()))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+@pytest.mark.parametrize("name", [
+    "density_by_station_taxon", "individuals", "cleaned_entries", "totals_by_station_taxon", "species_biomass", "violations_row_rules"])
+def test_generated_methods_are_compiled(spark, name):
+    """The JVM compiles no method of more than 8,000 bytes."""
+    assert 0 < largest_method(spark, QUERIES[name](spark, SF)) < 8000
+
+
 @pytest.mark.parametrize("name", ["sample_conflict", "water_depth"])
 def test_lookups_too_large_to_broadcast(spark, db, name):
     """The way beyond the broadcast threshold: sort-merge joins, same rows."""
