@@ -163,7 +163,8 @@ def prepare_lookups(
     `lookup` tells the two apart; `same_key` counts the rows of a key, which is 1 in a valid table (B13). The rows are dealt
     by their key once, for the distinct rows, the manual values and the count.
     """
-    complete = calculate_mean_conversion(attach_names(conversion_data, worms), levels).withColumn(
+    named = settle(attach_names(conversion_data, worms), "named")  # read by both means too
+    complete = calculate_mean_conversion(named, levels).withColumn(
         "is_Shell_removed", F.col("is_Shell_removed").cast("boolean")
     )
 
