@@ -33,6 +33,44 @@ def test_direct_inverts_inverse():
     assert np.allclose((lon - lon2 + 540) % 360 - 180, 0, atol=1e-9)
 
 
+def solve(*line):
+    return tuple(float(v[0]) for v in geodesy.inverse(*[np.array([float(x)]) for x in line]))
+
+
+def test_published_antipodal_lines():
+    """Published for WGS84: two lines where the plain iteration fails or nearly does, and half a meridian."""
+    assert solve(0, 0, 0.5, 179.5) == (pytest.approx(19936288.579, abs=1e-3), pytest.approx(25.671876, abs=1e-5))
+    assert solve(0, 0, 0.5, 179.7) == (pytest.approx(19944127.421, abs=1e-3), pytest.approx(15.556883, abs=1e-5))
+    half = 20003931.4586
+    for line in ((0, 0, 0, 180), (0, 20, 0, -160), (90, 0, -90, 50), (30, 10, -30, -170), (-89.9, 0, 89.9, 180)):
+        assert solve(*line)[0] == pytest.approx(half, abs=1e-3)
+
+
+def test_nearly_antipodal_points():
+    """The direct solution leads back, both ways are as long, and no way is longer than half a meridian."""
+    rng = np.random.default_rng(4)
+    lat1, lon1 = rng.uniform(-85, 85, 2000), rng.uniform(-180, 180, 2000)
+    lat2, lon2 = -lat1 + rng.uniform(-1, 1, 2000), lon1 + 180 + rng.uniform(-1, 1, 2000)
+    lat1[:200] = 0.0
+    lat2[:200] = rng.choice([0.0, 0.01, -0.3], 200)
+    d, az = geodesy.inverse(lat1, lon1, lat2, lon2)
+    assert np.isfinite(d).all() and (d <= 20003931.459).all() and (d > 19.8e6).all()
+    lat, lon = geodesy.direct(lat1, lon1, az, d)
+    metres = np.hypot(lat - lat2, ((lon - lon2 + 540) % 360 - 180) * np.cos(np.radians(lat2))) * 111_320
+    assert metres.max() < 1e-3
+    assert np.allclose(geodesy.inverse(lat2, lon2, lat1, lon1)[0], d, rtol=0, atol=1e-3)
+
+
+def test_antipodal_solution_on_common_lines():
+    """Where both solutions work they agree."""
+    rng = np.random.default_rng(6)
+    lat1, lat2 = rng.uniform(-80, 80, (2, 500))
+    lon1, turn = rng.uniform(-180, 180, 500), rng.uniform(-170, 170, 500)
+    d, az = geodesy.inverse(lat1, lon1, lat2, lon1 + turn)
+    other, az2 = geodesy.antipodal(lat1, lon1, lat2, lon1 + turn)
+    assert np.allclose(d, other, rtol=0, atol=2e-3) and np.abs((az - az2 + 540) % 360 - 180).max() < 1e-6
+
+
 def test_short_track_is_accurate():
     point = [np.array([x]) for x in (52.703, 5.663, 52.7035, 5.6638)]
     exact, _ = geodesy.inverse(*[p.astype(np.longdouble) for p in point])
