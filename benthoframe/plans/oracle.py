@@ -719,6 +719,31 @@ oracle("violations_headers", " UNION ALL ".join([
     _header(5, "group_incomplete", "Lon_DD_midpt, Track_length_m_preset",
             "columns that belong together are absent"),
 ]))
+oracle("violations_conversion_headers", " UNION ALL ".join([
+    _header(1, "required_absent", "Taxon", "required columns are absent"),
+    _header(2, "required_absent", "is_Shell_removed", "required columns are absent"),
+    _header(3, "group_incomplete", "Reference_WW_to_AFDW", "columns that belong together are absent"),
+    _header(5, "group_incomplete", "A_factor, Output_unit", "columns that belong together are absent"),
+]))
+oracle("violations_conversion_text", _rules("text_bioconversion", "Taxon", [
+    ("empty_cell", "WW_to_AFDW", "cells may not be empty", "WW_to_AFDW = ''"),
+    ("not_double", "WW_to_AFDW", "not a number", "WW_to_AFDW IN ('one', '0.2x')"),
+    ("not_double", "A_factor", "not a number", "A_factor = '1,5'"),
+    ("required_missing", "is_Shell_removed", "a required value is NA", "is_Shell_removed = 'NA'"),
+    ("not_boolean", "is_Shell_removed", "must be 0, 1 or NA", "is_Shell_removed = 'maybe'"),
+    ("fraction_range", "WW_to_AFDW", "must lie between 0 and 1", "WW_to_AFDW = '-1'"),
+    ("negative", "WW_to_AFDW", "may not be negative", "WW_to_AFDW = '-1'"),
+]))
+oracle("bind_rows", """
+SELECT File, EntryID, nullif(StationID, 'NA') AS StationID,
+ CASE WHEN Fraction NOT IN ('half', 'NaN', 'NA') THEN TRY_CAST(Fraction AS DOUBLE) END AS Fraction,
+ CAST(NULL AS BOOLEAN) AS is_Fraction_assumed, Species_reported,
+ CASE WHEN regexp_full_match(Count, '[+-]?[0-9]+') THEN TRY_CAST(Count AS BIGINT) END AS Count, CAST(NULL AS DOUBLE) AS WW_g
+FROM text_species WHERE File < 'sp_1995.csv'
+UNION ALL
+SELECT File, EntryID, NULL, NULL, CASE WHEN lower(is_Fraction_assumed) IN ('1', 'true') THEN true
+ WHEN lower(is_Fraction_assumed) IN ('0', 'false') THEN false END, Species_reported, NULL, NULL
+FROM text_species WHERE File >= 'sp_1995.csv'""")
 oracle("boolean_defaults", """
 SELECT EntryID, CASE WHEN Size_dimension IS NOT NULL THEN is_Shell_removed ELSE false END AS is_Shell_removed
 FROM species""")

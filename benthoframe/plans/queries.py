@@ -20,6 +20,7 @@ from benthoframe.operators.combine import combine_data_sources
 from benthoframe.plans import pipeline
 from benthoframe.plans.survey_views import view
 from benthoframe.session import settle
+from benthoframe.sources import csv_files as csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -609,6 +610,34 @@ def violations_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va.header_violations(headers, "stations")
 
 
+@query
+def violations_conversion_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V33a, V33b on the columns of one conversion file per customer and year; a group may be absent as a whole."""
+    base = ("Taxon", "is_Shell_removed", "WW_to_AFDW", "Reference_WW_to_AFDW", "Comment_WW_to_AFDW", "Size_dimension",
+            "Size_unit", "A_factor", "B_exponent", "Output_unit", "Reference_regression", "Comment_regression")
+    without = lambda *gone: tuple(c for c in base if c not in gone)
+    kinds = (base, without("Taxon"), without("is_Shell_removed"), without("Reference_WW_to_AFDW"), base[:5], without("A_factor", "Output_unit"))
+    columns = F.array(*[F.array(*[F.lit(c) for c in k]) for k in kinds])
+    headers = view(spark, sf_dir, "file_columns").select("File", F.get(columns, F.col("kind").cast("int")).alias("columns"))
+    return va.header_violations(headers, "bioconversion")
+
+
+@query
+def violations_conversion_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V33a, V33c, V33d, V33e, V33g on the text of a conversion file."""
+    return va.validate_part(view(spark, sf_dir, "text_bioconversion"), "bioconversion")
+
+
+@query
+def bind_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2, S3 and the types of S1 on the text of files with other columns in another order."""
+    text = view(spark, sf_dir, "text_species")
+    early = text.filter("File < 'sp_1995.csv'").select("File", "EntryID", "StationID", "Fraction", "Species_reported", "Count")
+    late = text.filter("File >= 'sp_1995.csv'").select("Species_reported", "File", "is_Fraction_assumed", "EntryID", F.col("Count").alias("Number"))
+    united = csv.unite([csv.type_columns(part, "species") for part in (early, late)])
+    return united.select("File", "EntryID", "StationID", "Fraction", "is_Fraction_assumed", "Species_reported", "Count", "WW_g")
+
+
 @query
 def boolean_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V32 on entries without a note on the shell."""

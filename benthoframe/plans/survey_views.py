@@ -168,6 +168,14 @@ SELECT 'sp_' || year(o_orderdate) || '.csv' AS File,
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {part} ON l_partkey = p_partkey
 """
 
+VIEWS["text_bioconversion"] = """
+SELECT 'conversion.csv' AS File, p_name || ' ' || p_partkey AS Taxon,
+ CASE p_size WHEN 1 THEN 'one' WHEN 2 THEN '0.2x' WHEN 3 THEN 'NA' WHEN 4 THEN '' WHEN 5 THEN '-1' ELSE '0.2' END AS WW_to_AFDW,
+ CASE p_size WHEN 6 THEN '1,5' WHEN 9 THEN 'NA' ELSE '1.5e-3' END AS A_factor,
+ CASE p_size WHEN 7 THEN 'NA' WHEN 8 THEN 'maybe' WHEN 10 THEN 'TRUE' ELSE '1' END AS is_Shell_removed
+FROM {part}
+"""
+
 VIEWS["text_stations"] = """
 SELECT 'st_' || year(o_orderdate) || '.csv' AS File, 'C' || o_orderkey AS StationID,
  CASE WHEN o_custkey % 10 = 0 THEN '2017-01-02' WHEN o_custkey % 10 = 1 THEN '31/2/2017' WHEN o_custkey % 10 = 2 THEN 'NA' ELSE '2/1/2017' END AS Date

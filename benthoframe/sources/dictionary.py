@@ -111,6 +111,7 @@ Comment_regression | NA | Optional | String | 2 | remarks on the regression
 is_Shell_removed | Boolean | Required | Boolean | NA | whether the weights are without shell
 """
 
+# The columns of the result tables, as published.
 _RANKS = {
     "rank": "rank | Taxonomic rank | NA | String | NA | rank of valid_name",
     "phylum": "phylum | Taxonomic rank | NA | String | NA | phylum of valid_name",
