@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from benthoframe.llm import decontaminate, fertility, language_id, licenses, merkle, pii, ranked_search, suffix_dedup, toxicity
 from benthoframe.llm.packing import pack
@@ -34,7 +35,10 @@ def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     field = pii.train_field(pii.labelled_table(spark))
-    return pii.find_pii(table(spark, sf_dir, "documents"), field).drop("redacted_text")
+    found = pii.find_pii(table(spark, sf_dir, "documents"), field).drop("redacted_text")
+    every = F.filter(F.split("spans", ","), lambda s: s != "")
+    secrets = F.filter(every, lambda s: s.startswith("secret:"))
+    return found.withColumns({"n_secret": F.size(secrets).cast("long"), "n_spans": F.size(every).cast("long")})
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
