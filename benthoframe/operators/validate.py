@@ -278,9 +278,10 @@ def duplicate_ids(df: DataFrame, id_column: str) -> DataFrame:
 def sample_violations(species: DataFrame, fractions: bool = True, weights: bool = True) -> DataFrame:
     """Rules about the entries of a taxon in a sample: V16, V19, V22, in one aggregate.
 
-    `fractions`: more than one reported fraction. `weights`: bulk samples without any weight.
+    `fractions`: more than one reported fraction. `weights`: bulk samples without any weight. Entries that count for
+    none of them are left out before the shuffle.
     """
-    counted, checks = [], []
+    counted, checks, concerned = [], [], F.lit(False)
 
     def add(rule: str, column: str, message: str, n: str, bad: Column) -> None:
         checks.append(F.when(bad, F.struct(
@@ -290,6 +291,7 @@ def sample_violations(species: DataFrame, fractions: bool = True, weights: bool
 
     if fractions:
         present = F.col("Count") > -1
+        concerned |= F.coalesce(present, F.lit(False))
         counted.append(F.count_if(present).alias("_present"))
         bad = F.lit(False)
         for c in ("Fraction", "is_Fraction_assumed"):
@@ -302,10 +304,11 @@ def sample_violations(species: DataFrame, fractions: bool = True, weights: bool
     for weight, (kind, _) in WEIGHTS.items():
         if weights and weight in species.columns and kind in species.columns:
             bulk = F.col(kind) == "Sample"
+            concerned |= F.coalesce(bulk, F.lit(False))
             counted += [F.count_if(bulk).alias(f"_bulk_{weight}"), F.count(F.when(bulk, F.col(weight))).alias(f"_weighed_{weight}")]
             add("bulk_weight_missing", weight, f"every {weight} of the Sample entries is NA", f"_bulk_{weight}",
                 (F.col(f"_bulk_{weight}") > 0) & (F.col(f"_weighed_{weight}") == 0))
-    samples = species.groupBy("File", "StationID", "Species_reported").agg(*counted)
+    samples = species.filter(concerned).groupBy("File", "StationID", "Species_reported").agg(*counted)
     found = samples.select("File", F.concat_ws(" / ", "StationID", "Species_reported").alias("row_key"),
                            F.explode(F.array_compact(F.array(*checks))).alias("v"))
     return found.select("File", "v.rule", "row_key", "v.column", "v.message", "v.n")
