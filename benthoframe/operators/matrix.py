@@ -95,14 +95,12 @@ def get_community_matrix_of(values: DataFrame, names: Sequence[str], abundance_m
     )
     together = F.max("value") if abundance_measure == "presence_absence" else F.sum("value")
     wide = marked.groupBy("StationID").pivot("taxon", names).agg(together)
-    # By position: names may differ in case only.
+    # By position: names may differ in case only. As text, since thousands of columns are many calls otherwise.
     placed = wide.toDF("StationID", *[f"_{i}" for i in range(len(names))])
-    return placed.select(
+    quoted = ["`" + name.replace("`", "``") + "`" for name in names]
+    return placed.selectExpr(
         "StationID",
-        *[
-            F.nullif(F.coalesce(F.col(f"_{i}"), F.lit(0.0)), F.lit(float("nan"))).alias(name)
-            for i, name in enumerate(names)
-        ],
+        *[f"nullif(coalesce(_{i}, 0.0D), double('NaN')) AS {name}" for i, name in enumerate(quoted)],
     )
 
 
