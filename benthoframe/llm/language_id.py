@@ -103,9 +103,11 @@ def train(docs: DataFrame, learns: Column, lang: str = "lang") -> tuple[list[str
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     names.sort()
     matrix = np.zeros((BUCKETS, len(names)), np.float64)
-    for i, name in enumerate(names):  # at most BUCKETS rows each
-        for bucket, n in counts.where(F.col("lang") == name).select("bucket", "n").collect():
-            matrix[bucket, i] = n
+    at = {name: i for i, name in enumerate(names)}
+    of_one = counts.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("found"))  # at most BUCKETS each
+    for name, found in of_one.toLocalIterator():
+        for bucket, n in found:
+            matrix[bucket, at[name]] = n
     smooth = 0.5
     return names, ((matrix + smooth) / (matrix.sum(0) + smooth * BUCKETS)).astype(np.float32)
 
@@ -168,8 +170,10 @@ def identify(docs: DataFrame, names: list[str], model: np.ndarray, **options) ->
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = shared.value
+        # a trigram has a float for every language, in several arrays
+        chars = max(20_000, min(1_000_000, 4_000_000 // max(len(names), 1)))
         for batch in batches:
-            for start, texts in pieces(batch, chars=1_000_000):
+            for start, texts in pieces(batch, chars=chars):
                 owner, bucket, n = bucket_counts(texts)
                 known = np.bincount(owner, n, len(texts)) > 0 if names else np.zeros(len(texts), bool)
                 share = mixtures(owner, n, p[bucket], len(texts), **options) if names and len(owner) else np.zeros((len(texts), 1))
