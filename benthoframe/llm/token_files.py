@@ -51,7 +51,8 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                 seen += int(offsets[-1])
 
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ordered = ordered.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # rows that share an id, or have none, are dealt by the beginnings of their texts
+    ordered = ordered.repartitionByRange(F.col("doc_id"), F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
     return ordered.mapInArrow(encode, SCHEMA)
 
 

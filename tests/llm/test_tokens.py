@@ -3,6 +3,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
@@ -74,6 +75,32 @@ def test_selective_reads(spark, docs, tmp_path, ids):
     assert stored == sorted(stored)
 
 
+def test_row_groups_encodings_and_indexes(spark, docs, tmp_path):
+    path = tmp_path / "tokens"
+    write_token_files(docs.coalesce(1), str(path), PATH, row_group_bytes=64 << 10, page_bytes=8 << 10)
+    files = [pq.ParquetFile(f).metadata for f in sorted(path.glob("*.parquet"))]
+    assert sum(m.num_row_groups for m in files) > len(files)
+    for m in files:
+        for g in range(m.num_row_groups):
+            columns = [m.row_group(g).column(c) for c in range(m.num_columns)]
+            assert all(c.has_offset_index and c.has_column_index and c.compression == "ZSTD" for c in columns)
+            ids = next(c for c in columns if c.path_in_schema.startswith("ids"))
+            assert {"RLE_DICTIONARY", "DELTA_BINARY_PACKED"} & set(ids.encodings)
+
+
+def test_rows_without_an_id_are_dealt_out(spark, ids):
+    texts = [f"{i * 7919 % 1000} some words of a text" for i in range(400)]
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string").repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        encoded = encode_documents(docs, PATH, 2).select("shard").groupBy("shard").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(encoded) > 1 and max(r["count"] for r in encoded) < 200
+    got = [tuple(r) for r in token_files(docs, PATH).orderBy("start").collect()]
+    assert got == expected_index([(None, t) for t in texts], ids)
+
+
 def check_packing(rows, texts, ids, length=4096):
     sequences, documents = defaultdict(list), defaultdict(list)
     for r in rows:
