@@ -1,8 +1,8 @@
 """Toxicity by weak supervision: voters, a generative label model, a linear classifier on its posteriors.
 
-Learning uses a bounded sample of labelled rows (`sample`, chosen by a hash of the id). Word counts by label give the voters: each
-strongly and significantly associated word is one, beside a small general lexicon, style patterns and the annotator's own label. The label model
-estimates by EM how often each voter fires for either class, and from the voters' conditional correlations how much of a vote is
+Learning uses a bounded sample of labelled rows (`sample`, chosen by a hash of the id). Voters are the themes of a general lexicon
+and style patterns, which no label chooses, the annotator's own label, and for what the lexicon lacks the words that are
+strongly and significantly associated with the label. The label model estimates by EM how often each voter fires for either class, and from the voters' conditional correlations how much of a vote is
 new; correlated voters share their weight. An L1 logistic regression on word presence and patterns learns the posteriors, and
 scores every whole text.
 
@@ -24,34 +24,58 @@ from pyspark.sql import functions as F
 
 from benthoframe.session import settle
 
-#: A general seed lexicon for one voter.
-SEED_WORDS = frozenset(("idiot", "idiots", "moron", "stupid", "dumb", "loser", "trash", "scum", "pathetic", "disgusting", "worthless", "garbage", "hate", "shut", "ugly", "vermin"))
-_WORD = re.compile(r"\w+")
-#: Style patterns over the text in lower case, or as it is; each begins with a character that is rare, so a scan is quick.
+# General insults and hostile words by theme and language; each theme is a voter. Words that are common in another of
+# the languages are left out.
+LEXICONS = {
+    "mind": "idiot idiots idiotic moron morons moronic imbecile imbeciles stupid stupidity dumb dumbass dimwit halfwit fool fools brainless clueless",
+    "worth": "loser losers worthless useless pathetic failure",
+    "filth": "trash garbage scum scumbag filth filthy vermin parasite parasites cockroach cockroaches",
+    "disgust": "disgusting disgrace disgraceful revolting repulsive vile sickening nasty",
+    "mockery": "clown clowns laughable ridiculous crybaby coward cowards freak freaks weirdo",
+    "looks": "ugly hideous fatso",
+    "hostility": "hate hateful despise loathe detest",
+    "threat": "kill strangle punch destroy hurt",
+    "profanity": "damn damned crap bastard bastards asshole assholes bullshit fuck fucking fucker shit shitty bitch",
+    "insults_de": "trottel depp vollidiot arschloch abschaum widerlich versager scheiße dreckig",
+    "insults_fr": "imbécile débile connard connasse salaud ordure crétin",
+    "insults_es": "idiota estúpido estúpida imbécil basura asqueroso asquerosa inútil payaso",
+}
+# Style patterns over the text in lower case, each with a text that it cannot match without, so that a scan is quick.
 PATTERNS = {
-    "exclaims": re.compile(r"!\s*!"),
-    "addresses": re.compile(r"you(?: are|'re)? (?:an?|such) "),
-    "masks": re.compile(r"[*@#$]{2,}\w"),
+    "exclaims": ("!", re.compile(r"!\s*!")),
+    "addresses": ("you", re.compile(r"you(?: are|'re)? (?:an?|such) ")),
+    "accuses": ("you", re.compile(r"\byou (?:all |people |lot )?(?:make me sick|deserve|should be ashamed|are nothing)")),
+    "silences": ("shut", re.compile(r"\bshut (?:up|your)\b")),
+    "dismisses": ("get ", re.compile(r"\bget (?:lost|out of here|a life)\b")),
+    "curses": ("go ", re.compile(r"\bgo (?:to hell|die|kill yourself|hang yourself)\b")),
+    "masks": ("", re.compile(r"[*@#$]{2,}\w")),
+    "stars": ("*", re.compile(r"\b[a-z]{1,3}\*+[a-z]{1,3}\b")),
+    "digits": ("", re.compile(r"\b(?=[a-z]*[013])(?:[i1]d[i1][o0]t|m[o0]r[o0]n|l[o0]s[e3]r|stup[i1]d)s?\b")),
 }
+_WORD = re.compile(r"\w+")
+_THEME = {word: f" {theme}" for theme, words in LEXICONS.items() for word in words.split()}
 _SHOUTS = re.compile(r"[A-ZÀ-Þ]{3,}\W+[A-ZÀ-Þ]{3,}\W+[A-ZÀ-Þ]{3,}")
 _STRETCHES = tuple(4 * c for c in "aeiouhmrs")
 
 
 def signs(text: str) -> set[str]:
-    """Words in lower case, and names of the patterns that occur, marked by a leading space."""
+    """Words in lower case, and names of the themes and patterns that occur, marked by a leading space."""
     lower = text.lower()
     found = set(_WORD.findall(lower))
-    found.update(f" {name}" for name, p in PATTERNS.items() if p.search(lower))
+    insults = _THEME.keys() & found
+    found.update(f" {name}" for name, (needs, p) in PATTERNS.items() if needs in lower and p.search(lower))
+    found.update(_THEME[w] for w in insults)
+    if len(insults) > 1:
+        found.add(" several")
     if _SHOUTS.search(text):
         found.add(" shouts")
     if any(s in lower for s in _STRETCHES):
         found.add(" stretches")
-    if not SEED_WORDS.isdisjoint(found):
-        found.add(" lexicon")
     return found
 
 
-_SIGNS = [*(f" {name}" for name in PATTERNS), " shouts", " stretches", " lexicon"]
+#: The voters that no label chooses.
+_SIGNS = [*(f" {name}" for name in (*LEXICONS, *PATTERNS)), " several", " shouts", " stretches"]
 
 
 @dataclass
@@ -121,8 +145,8 @@ def fit_linear(owner: np.ndarray, sign: np.ndarray, q: np.ndarray, signs_: int,
 def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, vocabulary: int = 2_000, lexicon: int = 200, lift: float = 2.0) -> Model:
     """Learn from the labelled documents given; `labels` (doc_id, toxic) holds learning rows only.
 
-    A voter must be significant and strong (log odds of at least `lift`): in a large sample weak signs such as the function words
-    of a language are significant too, and so many that they would turn the label model to that language.
+    A word outside the themes is a voter if significant and strong (log odds of at least `lift`): in a large sample weak signs such
+    as the function words of a language are significant too, and so many that they would turn the label model to that language.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna()
     known = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
@@ -148,7 +172,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, vocabulary:
     ranked = counted.where("n >= 3").select("sign", z.alias("z"), odds.alias("odds"))
     top = ranked.orderBy(F.desc("z"), "sign").limit(vocabulary // 2).union(ranked.orderBy("z", "sign").limit(vocabulary // 2)).distinct().collect()
     scores = {r["sign"]: r["z"] for r in top}
-    strong = {r["sign"] for r in top if r["z"] > 3 and r["odds"] >= lift}
+    strong = {r["sign"] for r in top if r["z"] > 3 and r["odds"] >= lift} - _THEME.keys() - set(_SIGNS)
     for name in _SIGNS:
         scores.setdefault(name, 0.0)
     names = sorted(scores)
@@ -164,7 +188,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, vocabulary:
     owner = np.repeat(np.arange(len(kept)), [len(r["signs"]) for r in kept])
     sign = np.array([s for r in kept for s in r["signs"]], np.int64)
     gold = np.array([r["toxic"] for r in kept], np.float64)
-    voters = sorted(set(sorted(strong, key=lambda n: (-scores[n], n))[:lexicon]) | set(_SIGNS))
+    fired = {names[i] for i in np.unique(sign)} & set(_SIGNS)  # the others have no vote
+    voters = sorted(fired | set(sorted(strong, key=lambda n: (-scores[n], n))[:lexicon]))
     column = np.full(len(names), -1)
     column[[at[n] for n in voters]] = np.arange(len(voters))
     fires = np.zeros((len(kept), len(voters)), np.float32)
