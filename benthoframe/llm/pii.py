@@ -3,9 +3,10 @@
 The patterns (e-mail, IP address, card and phone number) give the base spans. The field labels white-space separated
 tokens with B/I tags of those kinds and of secrets (keys, passwords); its features are the shape of a token, its length and
 characters, and what kind of token stands beside it. It is trained from a small labelled table, by default one made from
-rules, and decoded by Viterbi over numpy batches of token runs of equal length. A token without digit, `@` or `+` is plain; the field
-allows it no tag but O, in training as in decoding, so only the runs between plain tokens need decoding. A span of the field is
-kept if it overlaps no base span and passes the plain check of its kind.
+rules, and decoded by Viterbi over numpy batches of token runs of equal length. A token without digit, `@`, `+` or 20 ASCII letters
+in a row is plain; the field allows it no tag but O, in training as in decoding, so only the runs between plain tokens need
+decoding. A run of over `_PART` tokens is decoded in parts, with the same result, so its memory does not grow with its length. A span
+of the field is kept if it overlaps no base span and passes the plain check of its kind.
 
 Defined results: null text is empty and has no span; offsets are code points, end exclusive; other rows and
 columns have no influence, so repeated rows give equal results.
@@ -87,7 +88,9 @@ def base_spans(text: str) -> list[Span]:
 
 # --- features ----------------------------------------------------------------------------------------------------
 
-_SPECIAL = re.compile(r"[0-9@+]")
+_SPECIAL = re.compile(r"[0-9@+]|[A-Za-z]{20,}")
+_SWITCH = re.compile(r"[a-z][A-Z]|[A-Z]{2}[a-z]")
+_PART = 4096  # tokens of a long run that are decoded at a time
 _TOKEN = re.compile(r"[^\x20\x09-\x0d]+")
 _WHITE = " \t\n\v\f\r"
 _RUNS = [(re.compile(r"[A-Z]+"), "A"), (re.compile(r"[0-9]+"), "9"), (re.compile(r"[a-z\u0080-\U0010ffff]+"), "a")]
@@ -123,9 +126,10 @@ def features(token: str, before: str | None, after: str | None) -> list[str]:
     digits = sum(c.isdigit() for c in core)
     hexed = len(core) >= 16 and not core.strip("0123456789abcdefABCDEF") and digits < len(core)
     mixed = len(core) >= 16 and core.isalnum() and 0 < digits < len(core)
+    switches = min(len(_SWITCH.findall(core)), 6) if len(core) >= 16 else 0
     return [
         f"shape={shape(core)}", f"length={_bucket(len(core))}", f"digits={_bucket(digits)}", f"dots={min(core.count('.'), 4)}",
-        f"dashes={min(core.count('-'), 4)}", f"hex={hexed}", f"mixed={mixed}", f"at={'@' in core}", *beside,
+        f"dashes={min(core.count('-'), 4)}", f"hex={hexed}", f"mixed={mixed}", f"switches={switches}", f"at={'@' in core}", *beside,
     ]
 
 
@@ -146,11 +150,11 @@ def labelled_tokens(sentences: int = 250, seed: int = 7) -> list[tuple[int, int,
             [f"+{rng.randint(1, 99)}", f"({number(3)})", f"{number(3)}-{number(4)}"], [f"({number(3)})", f"{number(3)}-{number(4)}"],
             [f"{number(3)}-{number(3)}-{number(4)}"], [f"+{number(2)}", number(3), number(7)], [f"+{number(11)}"],
         ]),
-        "secret": lambda: [rng.choice(["", '"']) + rng.choice([letters(rng.choice([32, 40]), "0123456789abcdef"), letters(rng.randint(20, 36), "ABCDEFGHKabcdefgh0123456789")]) + rng.choice(["", '"'])],
+        "secret": lambda: [rng.choice(["", '"']) + rng.choice([letters(rng.choice([32, 40]), "0123456789abcdef"), letters(rng.randint(20, 36), "ABCDEFGHKabcdefgh0123456789"), letters(rng.randint(20, 36), "ABCDEFGHKMRSTXZabcdefghkmrstxz")]) + rng.choice(["", '"'])],
         "": lambda: rng.choice([
             [number(rng.randint(1, 8))], [f"{number(1)}.{number(1)}"], [f"{number(4)}-{number(2)}-{number(2)}"], [f"{number(2)}:{number(2)}"],
             [f"{number(2)},{number(3)}"], [f"v{number(1)}.{number(1)}.{number(1)}"], [f"#{number(3)}"], [f"{number(2)}%"], [letters(5, "aeinrst") + number(2)],
-            ["@" + letters(5, "aeinrst")], ["a+b"], [f"{number(2)}.{number(2)}.{number(4)}"], [number(24)], [f"({number(1)})"], [f"{number(3)}-{number(2)}"],
+            ["@" + letters(5, "aeinrst")], ["a+b"], [f"{number(2)}.{number(2)}.{number(4)}"], [number(24)], [letters(rng.randint(20, 30), "aeinrstdlu")], [letters(1, "ABDEGS") + letters(rng.randint(20, 30), "aeinrstdlu")], [letters(24, "ABDEGRSTU")], [f"({number(1)})"], [f"{number(3)}-{number(2)}"],
         ]),
     }
     rows = []
@@ -291,9 +295,10 @@ def train_field(labelled: DataFrame) -> Field:
     return Field().train(list(sentences.values()))
 
 
-def _runs(text: str) -> list[list[tuple[int, int]]]:
-    """Runs of adjoining tokens to decode: those with a digit, `@` or `+`."""
-    runs, end = [], -1
+def _runs(text: str, most: int = _PART) -> Iterator[tuple[list[tuple[int, int]], bool]]:
+    """Runs of adjoining tokens to decode, those with a digit, `@`, `+` or 20 letters, in parts; whether the run goes on."""
+    run: list[tuple[int, int]] = []
+    end = -1
     for m in _SPECIAL.finditer(text):
         if m.start() < end:
             continue
@@ -301,12 +306,14 @@ def _runs(text: str) -> list[list[tuple[int, int]]]:
         while start > 0 and text[start - 1] not in _WHITE:
             start -= 1
         token = _TOKEN.match(text, start)
-        if runs and not text[end:start].strip(_WHITE):
-            runs[-1].append(token.span())
-        else:
-            runs.append([token.span()])
+        adjoins = run and not text[end:start].strip(_WHITE)
+        if run and (not adjoins or len(run) >= most):
+            yield run, bool(adjoins)
+            run = []
+        run.append(token.span())
         end = token.end()
-    return runs
+    if run:
+        yield run, False
 
 
 def _beside(text: str, run: list[tuple[int, int]]) -> tuple[str | None, str | None]:
@@ -332,23 +339,75 @@ def _passes(kind: str, found: str) -> bool:
         return 7 <= len(digits) <= 15 and not re.search(r"[^0-9+(). -]", found) and bool(re.search(r"[-+()]", found))
     if kind == "email":
         return bool(re.fullmatch(r"[^@\s]+@[^@\s]+\.[^@\s]+", found))
-    return len(found) >= 16 and 0 < len(digits) < len(found)
-
-
-def field_spans(texts: list[str], field: Field) -> list[list[Span]]:
-    """Spans that the field finds in each text."""
+    return len(found) >= 16 and (0 < len(digits) < len(found) or not digits and len(_SWITCH.findall(found)) >= 3)
+
+
+class _LongRun:
+    """Viterbi over a run in parts. Only the values before each part are kept; the way back computes the parts again."""
+
+    def __init__(self, text: str, field: Field):
+        self.text, self.field, self.step = text, field, field.step + field.allowed
+        self.parts: list[tuple[int, int, np.ndarray | None]] = []
+        self.value: np.ndarray | None = None
+
+    def _forward(self, part: list[tuple[int, int]], value: np.ndarray | None) -> tuple[list[np.ndarray], np.ndarray]:
+        back = []
+        for e in self.field.emissions([self.text[a:b] for a, b in part], *_beside(self.text, part)):
+            options = self.step[:1] if value is None else value[:, None] + self.step
+            back.append(options.argmax(0))
+            value = options.max(0) + e
+        return back, value
+
+    def add(self, part: list[tuple[int, int]]) -> None:
+        self.parts.append((part[0][0], part[-1][1], self.value))
+        self.value = self._forward(part, self.value)[1]
+
+    def spans(self) -> list[Span]:
+        found, last = [], None
+        tag = (self.value + self.step[:, 0]).argmax()
+        for start, stop, value in reversed(self.parts):
+            part = [m.span() for m in _TOKEN.finditer(self.text, start, stop)]
+            for (a, b), pointers in zip(reversed(part), reversed(self._forward(part, value)[0])):
+                name, tag = self.field.tags[tag], pointers[tag]
+                last = None if name == "O" else last or b
+                if name[0] == "B":
+                    found += _trimmed(self.text, name[2:], a, last)
+                    last = None
+        return found
+
+
+def field_spans(texts: list[str], field: Field, most: int = _PART, hold: int = 200_000) -> list[list[Span]]:
+    """Spans that the field finds in each text; runs of equal length are decoded together, about `hold` tokens at a time."""
     jobs: dict[int, list[tuple[int, list[tuple[int, int]]]]] = {}
+    out: list[list[Span]] = [[] for _ in texts]
+
+    def decode() -> None:
+        for length, group in jobs.items():
+            size = max(1, 20_000 // length)
+            for at in range(0, len(group), size):
+                part = group[at : at + size]
+                e = np.stack([field.emissions([texts[i][a:b] for a, b in run], *_beside(texts[i], run)) for i, run in part])
+                for (i, run), tags in zip(part, field.viterbi(e)):
+                    out[i] += _collect(texts[i], run, [field.tags[t] for t in tags])
+        jobs.clear()
+
+    held = 0
     for i, text in enumerate(texts):
-        for run in _runs(text):
+        long: _LongRun | None = None
+        for run, more in _runs(text, most):
+            if more or long:
+                long = long or _LongRun(text, field)
+                long.add(run)
+                if not more:
+                    out[i] += long.spans()
+                    long = None
+                continue
             jobs.setdefault(len(run), []).append((i, run))
-    out: list[list[Span]] = [[] for _ in texts]
-    for length, group in jobs.items():
-        size = max(1, 20_000 // length)
-        for at in range(0, len(group), size):
-            part = group[at : at + size]
-            e = np.stack([field.emissions([texts[i][a:b] for a, b in run], *_beside(texts[i], run)) for i, run in part])
-            for (i, run), tags in zip(part, field.viterbi(e)):
-                out[i] += _collect(texts[i], run, [field.tags[t] for t in tags])
+            held += len(run)
+            if held >= hold:
+                decode()
+                held = 0
+    decode()
     return out
 
 
@@ -362,16 +421,19 @@ def _collect(text: str, run: list[tuple[int, int]], tags: list[str]) -> list[Spa
         at += 1
         while at < len(tags) and tags[at] == f"I-{kind}":
             at += 1
-        start, end = run[first][0], run[at - 1][1]
-        while start < end and text[start] in _TRIM_LEFT:
-            start += 1
-        while end > start and text[end - 1] in _TRIM_RIGHT:
-            end -= 1
-        if start < end and _passes(kind, text[start:end]):
-            spans.append((kind, start, end))
+        spans += _trimmed(text, kind, run[first][0], run[at - 1][1])
     return spans
 
 
+def _trimmed(text: str, kind: str, start: int, end: int) -> list[Span]:
+    """The span without quotes and punctuation around it, if it passes."""
+    while start < end and text[start] in _TRIM_LEFT:
+        start += 1
+    while end > start and text[end - 1] in _TRIM_RIGHT:
+        end -= 1
+    return [(kind, start, end)] if start < end and _passes(kind, text[start:end]) else []
+
+
 def find_spans(texts: list[str], field: Field) -> list[tuple[list[Span], list[Span]]]:
     """(base spans, all spans) of each text, both by kind and start."""
     order = {k: i for i, k in enumerate(KINDS)}

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from conftest import rows
 
 from benthoframe.llm import fertility, language_id, licenses, pii, toxicity
@@ -73,6 +74,11 @@ def plain_spans(text):
     return out
 
 
+@pytest.fixture(scope="module")
+def field(spark):
+    return pii.train_field(pii.labelled_table(spark))
+
+
 def test_base_spans_match_the_patterns():
     rng = random.Random(2)
     for _ in range(5000):
@@ -107,6 +113,30 @@ def test_field_learns_the_table():
     assert pii.redacted("call (555) 123-4567 now", spans[1]) == "call <PHONE> now"
 
 
+def test_long_runs_in_parts(field):
+    rng = random.Random(5)
+    made = [f"{rng.randint(100, 999)}", "12", "(555)", "123-4567", "+49", "a1b2c3d4e5f6a7b8c9d0", "4111", "1111", "x@y", "3.4", "@me"]
+    for size in (2, 3, 7, 50):
+        for _ in range(30):
+            texts = ["".join(rng.choice(made) + rng.choice([" ", "\n"]) for _ in range(rng.randint(1, 80))) + rng.choice(["", "end"]) for _ in range(3)]
+            whole = [sorted(x) for x in pii.field_spans(texts, field)]
+            assert [sorted(x) for x in pii.field_spans(texts, field, most=size, hold=20)] == whole
+    long = pii._LongRun("1 " * 30_000, field)
+    for part, _ in pii._runs(long.text):
+        long.add(part)
+    assert len(long.parts) == 8 and long.spans() == []
+
+
+def test_secrets_of_letters(field):
+    rng = random.Random(6)
+    key = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(n))
+    texts = [f"the token = {key(rng.randint(20, 40))} was given" for _ in range(300)]
+    found = pii.field_spans(texts, field)
+    assert sum([k for k, _, _ in x] == ["secret"] for x in found) >= 270
+    plain = ["eine Donaudampfschifffahrtsgesellschaft", "internationalization and counterrevolutionaries", "INTERNATIONALIZATIONS", "x" * 300, "getElementsByTagNames"]
+    assert pii.field_spans(plain, field) == [[]] * 5
+
+
 def test_pii_query(spark, docs, odd, empty):
     texts = {r.doc_id: r.text for r in docs.collect()}
     found = QUERIES["op2_pii"](spark, SF).collect()
@@ -142,6 +172,25 @@ def test_linear_model_fits():
     assert np.allclose(w[:2], [3, -2], atol=0.3) and abs(w[2:]).max() < 0.2 and abs(b + 0.5) < 0.2
 
 
+def test_voters_that_no_label_chooses(spark):
+    """Voters of the lexicon and the patterns outvote wrong labels, also for words that the labels never showed."""
+    rng = np.random.default_rng(8)
+    insults = ["idiot", "loser", "scum", "pathetic", "clown", "vermin"]
+    rows, truth, gold = [], [], []
+    for i in range(3000):
+        bad = rng.random() < 0.15
+        words = [f"w{k}" for k in rng.integers(0, 400, 30)] + ([str(w) for w in rng.choice(insults, 2, replace=False)] if bad else [])
+        rows.append((i, " ".join(words) + ("! !" if bad and rng.random() < 0.4 else "")))
+        truth.append(bad)
+        gold.append((i, int(bad != (rng.random() < 0.08))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame(gold, "doc_id long, toxic int"))
+    assert {" mind", " worth", " filth", " mockery", " several", " exclaims"} <= model.voters.keys()
+    assert np.mean([(model.score(t) >= 0.5) == y for (_, t), y in zip(rows, truth)]) > 0.99
+    assert toxicity.signs("You are an idiot, sh*t, m0ron! SHUT YOUR MOUTH") >= {" addresses", " mind", " stars", " digits", " silences", " shouts"}
+    assert not {x for x in toxicity.signs("a loser? moron 1 youth") if x in (" digits", " addresses", " stars")}
+
+
 def test_toxicity_of_held_out_documents(spark, docs, odd, empty):
     sf = SF.replace("0.001", "0.01")
     known = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
@@ -251,6 +300,22 @@ def test_fertility(spark, docs, odd, empty):
     assert len(rows(fertility.measure(odd.where("doc_id = 5"), model))) == 1
 
 
+def test_fertility_measures(spark):
+    from sentencepiece import SentencePieceProcessor
+
+    path = vocabulary("piece_bpe_32k.model")
+    model = SentencePieceProcessor(model_file=path)
+    texts = ["The quick brown fox, the quick brown fox.", "ⴰⵣⵓⵍ x ⵎⵏⵉ", "Straße 日本 12.5%", "a"]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    for r in fertility.measure(docs, path).collect():
+        ids = model.encode(texts[r.doc_id])  # single-spaced, so its ids are those of its words
+        n = Counter(ids)
+        entropy = -sum(c / len(ids) * np.log2(c / len(ids)) for c in n.values())
+        assert r.chars_per_token == pytest.approx(len(texts[r.doc_id].replace(" ", "")) / len(ids))
+        assert r.byte_share == pytest.approx(sum(model.id_to_piece(i).startswith("<0x") for i in ids) / len(ids))
+        assert r.entropy == pytest.approx(entropy, abs=1e-9)
+
+
 def test_toxicity_is_not_taken_for_a_language(spark):
     """Function words that are a little more common among toxic texts are no voters, however many texts show it."""
     rng = np.random.default_rng(1)
