@@ -10,7 +10,8 @@ document one after another are its parse.
    repetitive text go, at one row per batch whatever their number. A key with one entry repeats nothing else.
 2. Only the other entries (same key, different bytes) are fetched. Their suffixes of `SIZE` bytes are sorted, key by
    key: neighbours that agree over `SIZE` bytes, ordered by document and place, are repeats except for the first.
-   A key with over `hot` entries is dealt out by whole strings instead, so no task holds it alone.
+   A key with over `hot` entries, or over `crowd` in one Arrow batch, is dealt out by whole strings instead, so no task holds it
+   alone: in step 1 each batch sends one row for it, and a bucket lets its entries go as soon as they are too many.
 3. The strings found cover the bytes to remove.
 
 All strings are judged on the input. Hashes of step 1 have 128 bits together; step 2 compares bytes.
@@ -141,17 +142,47 @@ def _by_doc(docs: np.ndarray, rows: np.ndarray) -> dict[int, bytes]:
     return {d: raw[a:b] for d, a, b in zip(docs[cut].tolist(), edges, edges[1:])}
 
 
-def merge_bucket(found: np.ndarray, hot: int) -> tuple[dict[int, bytes], dict[int, bytes]]:
-    """Of the phrases of some keys: runs of repeated strings, and the entries to look into, by document."""
-    first, later = split_repeats(found)
-    change = np.flatnonzero(np.concatenate([[True], first["key"][1:] != first["key"][:-1]])) if len(first) else np.zeros(0, np.int64)
-    shared = np.repeat(np.diff(np.append(change, len(first))), np.diff(np.append(change, len(first)))) if len(first) else np.zeros(0, np.int64)
-    wanted = first[shared > 1]
-    flags = np.zeros(len(wanted), _FLAG)
+def _shared(first: np.ndarray) -> np.ndarray:
+    """Of entries sorted by key: how many have the key of each."""
+    if not len(first):
+        return np.zeros(0, np.int64)
+    size = np.diff(np.append(np.flatnonzero(np.concatenate([[True], first["key"][1:] != first["key"][:-1]])), len(first)))
+    return np.repeat(size, size)
+
+
+def _flags(entries: np.ndarray, hot: np.ndarray) -> dict[int, bytes]:
+    out = np.zeros(len(entries), _FLAG)
     for c in ("key", "at", "n", "lead"):
-        flags[c] = wanted[c]
-    flags["hot"] = shared[shared > 1] > hot
-    return _by_doc(later["doc"], _runs(later)), _by_doc(wanted["doc"], flags)
+        out[c] = entries[c]
+    out["hot"] = hot
+    return _by_doc(entries["doc"], out)
+
+
+def merge_bucket(chunks: Iterator[np.ndarray], hot: int, hold: int = 64 << 20) -> Iterator[tuple[dict[int, bytes], dict[int, bytes]]]:
+    """Of the phrases of some keys, in chunks: runs of repeated strings, and the entries to look into, by document.
+
+    A chunk row without strings (`n` 0) says that its key is hot. Entries of a hot key are let go at once, so what is held are
+    at most `hot` entries of a key, and `hold` bytes before they are reduced to those.
+    """
+    held, waiting, marked = np.zeros(0, _PHRASE), [], np.zeros(0, np.uint64)
+
+    def reduce(last: bool) -> tuple[dict[int, bytes], dict[int, bytes]]:
+        nonlocal held, marked
+        found = np.concatenate([held, *waiting])
+        waiting.clear()
+        first, later = split_repeats(found[found["n"] > 0])
+        shared = _shared(first)
+        marked = np.unique(np.concatenate([marked, found["key"][found["n"] == 0], first["key"][shared > hot]]))
+        is_hot = np.isin(first["key"], marked)
+        go = is_hot | (shared > 1) if last else is_hot
+        held = first[~go]
+        return _by_doc(later["doc"], _runs(later)), _flags(first[go], is_hot[go])
+
+    for chunk in chunks:
+        waiting.append(chunk)
+        if sum(w.nbytes for w in waiting) > max(hold, held.nbytes):
+            yield reduce(False)
+    yield reduce(True)
 
 
 def repeated_strings(rows: np.ndarray, raw: bytes, chunk: int = 100_000) -> dict[int, bytes]:
@@ -216,27 +247,36 @@ def remove(text: bytes, runs: np.ndarray) -> tuple[bytes, int, int]:
     return b"".join([*kept, text[at:]]), int((ends - starts).sum()), len(starts)
 
 
-_BLOCKS = "bucket int, phrases binary, repeats map<long,binary>"
+_BLOCKS = "bucket int, phrases binary, repeats map<long,binary>, flags map<long,binary>"
 
 
-def _blocks(docs: DataFrame, buckets: int) -> DataFrame:
-    """Step 1 within each Arrow batch: first places of entries by bucket of their key, and later places by document."""
+def _blocks(docs: DataFrame, buckets: int, crowd: int) -> DataFrame:
+    """Step 1 within each Arrow batch: first places of entries by bucket of their key, and later places by document.
+
+    Of a key with over `crowd` entries in the batch, only a row without strings goes to its bucket; the entries are flagged here.
+    """
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [(t.as_py() or "").encode() for t in batch.column("text")]
             first, later = split_repeats(phrases(texts, batch.column("rid").to_pylist()))
+            many = _shared(first) > crowd
+            flags = _flags(first[many], np.ones(int(many.sum()), np.uint8))
+            marks = np.zeros(len(np.unique(first["key"][many])), _PHRASE)
+            marks["key"] = np.unique(first["key"][many])
+            first = np.concatenate([first[~many], marks])
             bucket = (first["key"] % np.uint64(buckets)).astype(np.int64)
             first, bucket = first[np.argsort(bucket, kind="stable")], np.sort(bucket)
             there = np.unique(bucket)
             edges = np.append(np.searchsorted(bucket, there), len(bucket))
             blocks = [first[a:b].tobytes() for a, b in zip(edges, edges[1:])]
             repeats = [list(_by_doc(later["doc"], _runs(later)).items()), *[[]] * len(blocks)]
-            # repeats ride along in the bucket of the batch's first document
+            flagged = [list(flags.items()), *[[]] * len(blocks)]
+            # repeats and flags ride along in the bucket of the batch's first document
             where = [hash(batch.column("rid")[0].as_py()) % buckets if batch.num_rows else 0, *there.tolist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(where, pa.int32()), pa.array([b"", *blocks], pa.binary()), pa.array(repeats, pa.map_(pa.int64(), pa.binary()))],
-                ["bucket", "phrases", "repeats"],
+                [pa.array(where, pa.int32()), pa.array([b"", *blocks], pa.binary()), *(pa.array(x, pa.map_(pa.int64(), pa.binary())) for x in (repeats, flagged))],
+                ["bucket", "phrases", "repeats", "flags"],
             )
 
     return docs.select("rid", "text").mapInArrow(parse, _BLOCKS)
@@ -245,12 +285,26 @@ def _blocks(docs: DataFrame, buckets: int) -> DataFrame:
 _MARKS = "rid long, runs binary, flags binary"
 
 
-def _marks(blocks: DataFrame, hot: int) -> DataFrame:
-    def merge(rows: pd.DataFrame) -> pd.DataFrame:
-        runs, flags = merge_bucket(np.frombuffer(b"".join(rows["phrases"]), _PHRASE), hot)
-        out = [(d, x, b"") for m in rows["repeats"] if m is not None for d, x in (m.items() if isinstance(m, dict) else m)]
-        out += [(d, runs.get(d, b""), flags.get(d, b"")) for d in runs.keys() | flags.keys()]
-        return pd.DataFrame(out, columns=["rid", "runs", "flags"])
+def _pairs(maps: pd.Series) -> Iterator[tuple[int, bytes]]:
+    for m in maps:
+        if m is not None:
+            yield from m.items() if isinstance(m, dict) else m
+
+
+def _marks(blocks: DataFrame, hot: int, hold: int) -> DataFrame:
+    def merge(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out: list[tuple[int, bytes, bytes]] = []
+
+        def chunks() -> Iterator[np.ndarray]:
+            for rows in parts:
+                out.extend((d, x, b"") for d, x in _pairs(rows["repeats"]))
+                out.extend((d, b"", x) for d, x in _pairs(rows["flags"]))
+                yield np.frombuffer(b"".join(rows["phrases"]), _PHRASE)
+
+        for runs, flags in merge_bucket(chunks(), hot, hold):
+            out.extend((d, runs.get(d, b""), flags.get(d, b"")) for d in runs.keys() | flags.keys())
+            yield pd.DataFrame(out, columns=["rid", "runs", "flags"])
+            out.clear()
 
     return blocks.groupBy("bucket").applyInPandas(merge, _MARKS)
 
@@ -300,8 +354,7 @@ def _entries(flagged: DataFrame, buckets: int) -> DataFrame:
 def _strings(entries: DataFrame) -> DataFrame:
     def sort(rows: pd.DataFrame) -> pd.DataFrame:
         found = repeated_strings(np.frombuffer(b"".join(rows["heads"]), _ENTRY), b"".join(rows["bytes"]))
-        out = [(d, x) for m in rows["repeats"] if m is not None for d, x in (m.items() if isinstance(m, dict) else m)]
-        return pd.DataFrame([*out, *found.items()], columns=["rid", "runs"])
+        return pd.DataFrame([*_pairs(rows["repeats"]), *found.items()], columns=["rid", "runs"])
 
     return entries.groupBy("bucket").applyInPandas(sort, "rid long, runs binary")
 
@@ -319,12 +372,12 @@ def ordered(docs: DataFrame) -> DataFrame:
     return settle(ranged.withColumn("rid", F.monotonically_increasing_id()), "ordered")
 
 
-def remove_repeats(docs: DataFrame, bucket_bytes: int = 16 << 20, hot: int = 50_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, bucket_bytes: int = 16 << 20, hot: int = 50_000, crowd: int = 256, hold: int = 64 << 20) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, where bytes were removed, those left (`changed`) of every row."""
     docs = ordered(docs)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, size // bucket_bytes)
-    marks = settle(_marks(_blocks(docs, buckets), hot), "marks")
+    marks = settle(_marks(_blocks(docs, buckets, crowd), hot, hold), "marks")
     lists = marks.where(F.length("flags") > 0).groupBy("rid").agg(F.collect_list("flags").alias("flags"))
     texts = docs.select("rid", "doc_id", "text")
     flagged = texts.join(lists, "rid").select("rid", "text", "flags")

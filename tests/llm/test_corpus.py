@@ -5,9 +5,12 @@ import itertools
 import random
 import re
 import uuid
+from collections import Counter
 
 import duckdb
+import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from benthoframe.llm import decontaminate, pii, simhash, suffix_dedup
@@ -159,6 +162,41 @@ def test_repeated_strings(spark, docs, odd, empty):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+def test_contexts_of_every_document(spark):
+    """One line in every text, with other words around it each time: no task gets more than a row a batch, or `hot` entries, of its keys."""
+    rng = random.Random(9)
+    some = lambda k: "".join(rng.choice("abcdef ") for _ in range(k))
+    line, copies = some(70), [some(60) for _ in range(5)]
+    texts = [(i, some(50) + rng.choice(["", *copies]) + line + rng.choice(["", *copies]) + some(50)) for i in range(400)]
+    df, want = spark.createDataFrame(texts, "doc_id long, text string").repartition(3), plain_removal(texts)
+    for sizes in ({"crowd": 20}, {"crowd": 20, "hot": 30, "hold": 0}, {"hot": 3, "hold": 0}, {"crowd": 0}):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+        try:
+            found = suffix_dedup.remove_repeats(df, **{"bucket_bytes": 8000, **sizes}).drop("changed").collect()
+            blocks = suffix_dedup._blocks(df.withColumn("rid", F.col("doc_id")), 4, sizes.get("crowd", 10**9)).collect()
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert sorted(map(tuple, found)) == want
+        keys = Counter(int(k) for b in blocks for k in np.frombuffer(b.phrases, suffix_dedup._PHRASE)["key"])
+        if "crowd" in sizes:  # nine batches or so, each with `crowd` entries at most
+            assert max(keys.values()) <= 12 * max(1, sizes["crowd"])
+            assert any(b.flags for b in blocks)
+        else:
+            assert max(keys.values()) > 150  # what the bound is for
+
+
+def test_buckets_let_hot_keys_go():
+    rows = np.zeros(3000, suffix_dedup._PHRASE)
+    rows["key"], rows["entry"], rows["doc"], rows["n"] = 7, np.arange(3000) % 2000, np.arange(3000), 1
+    rows["key"][::10] = 100 + np.arange(300)
+    parts = list(suffix_dedup.merge_bucket(iter(np.array_split(rows, 30)), hot=50, hold=0))
+    flags = [{d: np.frombuffer(x, suffix_dedup._FLAG) for d, x in f.items()} for _, f in parts]
+    later = {d for r, _ in parts for d in r}
+    seen = {d for f in flags for d in f}
+    assert seen | later == {d for d in range(3000) if d % 10} and all(x["hot"].all() for f in flags for x in f.values())
+    assert max(map(len, flags)) <= 400  # let go as they come: a chunk of 100, and as many as the 300 other keys that are held
+
+
 def test_repeats_over_long_texts(spark, monkeypatch):
     rng = random.Random(8)
     text = "".join(rng.choice("abc ") for _ in range(3000))
