@@ -19,11 +19,10 @@ all reported; extra columns are not read.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from benthoframe.functions.columns import end_method
 from benthoframe.session import settle
 
 WINDOW, LEAST = 13, 8
@@ -62,6 +61,12 @@ def around(at: Column, w: Column) -> list[Column]:
     return [F.when(at + d >= 0, F.get(w, at + d)) for d in range(-_REACH, _REACH + 1)]
 
 
+def near(at: Column, w: Column) -> tuple[Column, Column]:
+    """The words of `around` that are in the text, and how many are lacking before them; little code, for the loop over the places."""
+    lacking = F.greatest(F.lit(_REACH) - at, F.lit(0))
+    return F.slice(w, F.greatest(at - _REACH, F.lit(0)) + 1, F.lit(2 * _REACH + 1) - lacking), lacking
+
+
 def items_of(benchmark: DataFrame) -> DataFrame:
     """(item, words, n): items with equal words once, under their smallest id, if long enough to be looked for."""
     found = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words(F.col("text")).alias("words"))
@@ -85,24 +90,26 @@ def overlaps(docs: DataFrame, items: DataFrame, ratio: float = 0.8, broadcast_by
     )
     texts = docs.select(text_digest().alias("digest"), words(F.col("text")).alias("words"))
     places = seeded(texts, masks)
-    ours = F.array(*around(F.col("pos"), F.col("words"))).alias("ours")
+    ours, lacking = (c.alias(name) for c, name in zip(near(F.col("pos"), F.col("words")), ("ours", "lacking")))
     letters = F.aggregate("theirs", F.lit(0).cast("long"), lambda n, w: n + F.coalesce(F.octet_length(w), F.lit(0)))
     size = seeds.agg(F.coalesce(F.sum(letters + _ROW_BYTES), F.lit(0))).first()[0]
     if size <= broadcast_bytes:
-        hits = places.join(F.broadcast(seeds), "hash").select("digest", "item", "least", "short", "theirs", ours)
+        hits = places.join(F.broadcast(seeds), "hash").select("digest", "item", "least", "short", "theirs", ours, lacking)
     else:
         # copies have the same hits: each once, and one of their rows is read again
         bare = places.select("digest", "pos", "hash").join(seeds.select("hash").distinct(), "hash", "left_semi").distinct()
         again = texts.join(bare.select("digest").distinct(), "digest", "left_semi").dropDuplicates(["digest"])
-        placed = again.join(bare, "digest").select("digest", "hash", ours)
-        hits = placed.join(seeds, "hash").select("digest", "item", "least", "short", "theirs", "ours")
-    same = [F.coalesce((F.get("ours", F.lit(k)) == F.get("theirs", F.lit(k))).cast("int"), F.lit(0)) for k in range(2 * _REACH + 1)]
-    plus = lambda part: reduce(lambda a, b: a + b, part)
+        placed = again.join(bare, "digest").select("digest", "hash", ours, lacking)
+        hits = placed.join(seeds, "hash").select("digest", "item", "least", "short", "theirs", "ours", "lacking")
+    # else the comparison becomes a part of the join, whose loop over all places is then too long for the JVM to compile
+    hits = end_method(hits, "hits")
+    plus = lambda part: F.aggregate(part, F.lit(0), lambda a, b: a + b)
+    same = F.transform("theirs", lambda word, k: F.coalesce((F.get("ours", k - F.col("lacking")) == word).cast("int"), F.lit(0)))
     # a window that holds the hit ends behind the last position of its mask
     first = min(m[-1] for m in masks)
-    windows = [plus(F.get("same", F.lit(k)) for k in range(s, s + WINDOW)) for s in range(first, _REACH + 1)]
-    equal = F.when(F.col("short"), plus(F.get("same", F.lit(k)) for k in range(2 * _REACH + 1))).otherwise(F.greatest(*windows))
-    checked = hits.withColumn("same", F.array(*same)).withColumn("equal", equal).where(F.col("equal") >= F.col("least"))
+    windows = F.transform(F.sequence(F.lit(first), F.lit(_REACH)), lambda s: plus(F.slice("same", s + 1, WINDOW)))
+    equal = F.when(F.col("short"), plus("same")).otherwise(F.array_max(windows))
+    checked = hits.withColumn("same", same).withColumn("equal", equal).where(F.col("equal") >= F.col("least"))
     return checked.groupBy("digest", "item").agg(F.max("equal").alias("equal"))
 
 

@@ -17,6 +17,7 @@ from benthoframe.llm import decontaminate, pii, simhash, suffix_dedup
 from benthoframe.llm.queries import ORACLE, QUERIES
 from benthoframe.session import scratch_root
 from tests.llm.conftest import SF
+from tests.test_queries import largest_method
 
 
 def plain_print(text, n=3):
@@ -128,6 +129,16 @@ def test_decontamination_runs_no_python(spark):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_decontamination_is_compiled(spark):
+    """The JVM compiles no method of more than 8,000 bytes, such as one of the places, the join and the comparison together."""
+    df = spark.createDataFrame([(1, "a b c d e f g h i j k l m n o p")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, "a b c d e f g h i j k l m n"), (2, "a b c d e f g h")], "item_id long, text string")
+    for limit in (10**8, 0):
+        found = decontaminate.overlaps(df, decontaminate.items_of(benchmark), broadcast_bytes=limit)
+        assert 0 < largest_method(spark, found) < 8000
+        assert sorted((r.item, r.equal) for r in found.collect()) == [(1, 13), (2, 8)]
+
+
 def plain_removal(texts):
     seen, out = set(), []
     for doc_id, text in texts:
