@@ -6,6 +6,8 @@ from conftest import SF
 from pyspark.sql import functions as F
 
 from benthoframe.plans.oracle import ORACLE
+from benthoframe.operators import bioconversion
+from benthoframe.plans import pipeline, queries
 from benthoframe.plans.queries import QUERIES
 
 @pytest.fixture(scope="module")
@@ -111,3 +113,19 @@ def test_lookups_too_large_to_broadcast(spark, db, name):
         compare(spark, db, name, SF)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name, reads", [("sample_conflict", 2), ("sample_conflict_per_station", 3)])
+def test_passes_over_the_entries(spark, monkeypatch, name, reads):
+    """Names and conflicts take one pass; conflicts of stations one of their own, with its filter below the joins."""
+    plans = []
+
+    def noted(df, label, settle=queries.settle):
+        plans.append((label, df._jdf.queryExecution().optimizedPlan().toString()))
+        return settle(df, label)
+
+    for module in (queries, pipeline, bioconversion):
+        monkeypatch.setattr(module, "settle", noted)
+    final = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(plan.count("Relation [l_orderkey") for _, plan in (*plans, ("", final))) == reads
+    assert "CollectMetrics" not in dict(plans)["conflicts"] and "CollectMetrics" in final
