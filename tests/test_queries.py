@@ -115,7 +115,7 @@ def test_lookups_too_large_to_broadcast(spark, db, name):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name, reads", [("sample_conflict", 2), ("sample_conflict_per_station", 3)])
+@pytest.mark.parametrize("name, reads", [("sample_conflict", 2), ("totals_fuzzy_names", 2), ("sample_conflict_per_station", 3)])
 def test_passes_over_the_entries(spark, monkeypatch, name, reads):
     """Names and conflicts take one pass; conflicts of stations one of their own, with its filter below the joins."""
     plans = []
